@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hullmark.operators.nearby import boxes_of, radius_pairs
-from hullmark.session import table
+from hullmark.operators.units import depths_in_metres, pair_scales, stated_depths
+from hullmark.session import settle, table
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +19,29 @@ def p2_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxes_of(table(spark, sf_dir, "noaa_enc_wrecks"), table(spark, sf_dir, "enc_cells"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_boxes": p2_boxes}
+def ship_and_year() -> F.Column:
+    """An exact key that rows of one ship often share: the folded name and the year of the date."""
+    name = F.regexp_replace(F.lower("name"), r"[^\p{L}\p{N}]+", "")
+    year = F.regexp_extract(F.coalesce(F.col("date"), F.lit("")), r"^(\d{4})", 1)
+    return F.when((F.length(name) > 4) & (year != ""), F.concat_ws("|", name, year))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "wikipedia_wrecks").select("row_no", "name", "date", "depth_m", "note")
+    metres = depths_in_metres(rows, ship_and_year())
+    return metres.select("row_no", F.round(F.col("depth_value_m") * 10).cast("long").alias("depth_dm"))
+
+
+def p5_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources of depth values and the scale each pair of them shows."""
+    rows = table(spark, sf_dir, "wikipedia_wrecks").select("row_no", "name", "date", "depth_m", "note")
+    read = settle(stated_depths(rows.withColumn("_entity", ship_and_year())).where(F.col("_q").isNotNull()).select("_entity", "_q"))
+    read = read.where(F.col("_q.token2").isNull())
+    values = read.select("_entity", F.col("_q.value").alias("v"), F.col("_q.token").alias("t"))
+    return pair_scales(values, "_entity", "v", "t")
+
+
+QUERIES = {"p2_found": p2_found, "p2_boxes": p2_boxes, "p5_found": p5_found, "p5_scales": p5_scales}
 
 SQL = {
     "p2_boxes": """
