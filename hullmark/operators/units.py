@@ -38,6 +38,9 @@ SPELLINGS = {
 }
 UNIT_OF = {word: unit for unit, words in SPELLINGS.items() for word in words}
 
+# What a unit that is written out contains, whatever its ending.
+_STEMS = {"metre": ["metre", "meter", "mètre"], "foot": ["feet", "foot"], "fathom": ["fathom"], "yard": ["yard"], "inch": ["inch"], "centimetre": ["metre"], "kilometre": ["metre"]}
+
 # A larger unit and the smaller one that may follow as its part.
 _PARTS = {("fathom", "foot"), ("fathom", "inch"), ("yard", "foot"), ("foot", "inch"), ("metre", "centimetre")}
 
@@ -64,7 +67,7 @@ _AFTER = r" ?(?:of (?:\p{L}+ )?water|deep\b|down\b|(?:below|beneath|under) the (
 _ROUGHLY = r"(?:(?:about|around|approximately|approx\.?|some|roughly|over|nearly|almost|under|only|just|ca?\.|circa|~|≈|the) ?)*"
 #: Words that name the depth ahead of the number.
 _BEFORE = (
-    r"(?:(?<!moulded |molded |hold )depths?(?: (?:is|was|of|here|at|about|found))*(?: of)?[:,]? ?(?!of hold)"
+    r"(?<!\p{L})(?=[dlrsfbhwia])(?:depths?(?<!(?:moulded|molded|hold) depths?)(?: (?:is|was|of|here|at|about|found))*(?: of)?[:,]? ?(?!of hold)"
     r"|(?:lies?|lying|lay|rests?|resting|sits?|sitting|stands?|located|found|remains(?: are)?|bottom|seabed|section(?: is)?|hull(?: is)?|wreck(?: is)?|is|are)"
     r"(?: \p{L}+ly| upright| now)?,? (?:in|at)(?: a depth of)?(?: the)? )"
 )
@@ -75,12 +78,24 @@ _STATED = (
 )
 
 
+_BLANKS = "\t\n\r\u00a0\u2002\u2003\u2007\u2009\u200a\u202f\u3000"
+_UNSEEN = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
+
+
 def tidy(text: Column) -> Column:
-    """Lower case, plain spaces, no invisible signs or footnote marks; '' for null."""
-    out = F.lower(F.coalesce(text, F.lit("")))
-    out = F.regexp_replace(out, r"\[(?:\d+|[a-z]|note \d+|nb \d+|citation needed)\]", "")
-    out = F.regexp_replace(out, "[​‌‍﻿­]", "")
-    return F.trim(F.regexp_replace(out, r"[\s  -  　]+", " "))
+    """Lower case, plain single spaces, no invisible signs or footnote marks; '' for null."""
+    out = F.translate(F.lower(F.coalesce(text, F.lit(""))), _BLANKS + _UNSEEN, " " * len(_BLANKS))
+    out = F.when(F.contains(out, F.lit("[")), F.regexp_replace(out, r"\[(?:\d+|[a-z]|note \d+|nb \d+|citation needed)\]", "")).otherwise(out)
+    return F.trim(F.when(F.contains(out, F.lit("  ")), F.regexp_replace(out, " {2,}", " ")).otherwise(out))
+
+
+def may_measure(text: Column) -> Column:
+    """A cheap necessary condition for a quantity: a digit or fraction ahead of what may begin a unit, or a unit written out."""
+    words = [F.contains(text, F.lit(w)) for u in METRES for w in _STEMS[u]]
+    told = words[0]
+    for w in words[1:]:
+        told = told | w
+    return told | text.rlike(r"""[\d½¼¾⅓⅔⅛⅜⅝⅞][ -]?[fmyick'"′’″”]""")
 
 
 def _lookup(pairs: dict[str, float]) -> Column:
@@ -126,6 +141,7 @@ def stated_depths(df: DataFrame, column: str = "depth_m", note: str = "note") ->
     """
     # one projection per step: each text is searched once, however often its result is used
     out = df.withColumn("_c", tidy(F.col(column).cast("string"))).withColumn("_t", tidy(F.col(note)))
+    out = out.withColumn("_m", may_measure(F.col("_t")))
     some = r"[1-9½¼¾]|" + _SPELT
     c, t = F.col("_c"), F.col("_t")
     out = out.withColumn("_f", F.when(c.rlike(some), F.regexp_extract(c, _QUANTITY, 0)).otherwise(""))
@@ -135,7 +151,7 @@ def stated_depths(df: DataFrame, column: str = "depth_m", note: str = "note") ->
     after = _START + r"(?<!" + _OTHER + r".{0,14})" + _QUANTITY + _ASIDE + "(?=" + _AFTER + ")"
     no_depth = r"(?! ?(?:long|wide|broad|high|above|of chain|off\b|from\b|in length|in diameter|apart|away))"
     before = _BEFORE + _ROUGHLY + r"(?=" + _QUANTITY + no_depth + r")([^;]{1,60})"
-    need = (F.col("_f") == "") & t.rlike(some)
+    need = (F.col("_f") == "") & F.col("_m")
     out = out.withColumn("_n", F.when(need, F.regexp_extract(t, after, 0)).otherwise(""))
     out = out.withColumn("_n", F.when(need & (F.col("_n") == ""), F.regexp_extract(t, before, 6)).otherwise(F.col("_n")))
     out = out.withColumn("_f", F.when(F.col("_f") == "", F.col("_n")).otherwise(F.col("_f")))
