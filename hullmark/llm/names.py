@@ -86,12 +86,22 @@ def _given(word: str, dotted: bool, rest: bool) -> str:
     if dotted and len(word) >= 3:
         return word + "."
     if len(word) >= 4:
-        for full in (*GIVEN, *TITLES):
-            if len(full) >= 5 and abs(len(full) - len(word)) <= 1 and (within(word, full, 1) or (sorted(word) == sorted(full) and within(word, full, 2))):
-                return full
+        full = _TURNED.get(word) or _CUT.get(word)
+        for i in range(len(word) if not full else 0):
+            full = _CUT.get(word[:i] + word[i + 1 :])
+            if full:
+                break
+        if full and (word in _TURNED or within(word, full, 1)):
+            return full
     return ""
 
 
+# Given names and titles of five letters or more with two neighbours turned, or one letter cut out.
+_LONG = [n for n in (*GIVEN, *TITLES) if len(n) >= 5]
+_TURNED = {n[:i] + n[i + 1] + n[i] + n[i + 2 :]: n for n in _LONG for i in range(len(n) - 1)}
+_CUT = {n[:i] + n[i + 1 :]: n for n in _LONG for i in range(len(n))} | {n: n for n in _LONG}
+
+
 def within(a: str, b: str, most: int) -> bool:
     return distance(a, b, most) <= most
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hullmark.llm.encode import encode
 from hullmark.llm.groups import linked_groups
 from hullmark.llm.mixing import mix, reached_shares
+from hullmark.llm.spellings import variant_links
 from hullmark.llm.survivors import best_values, is_article, is_depth
 from hullmark.session import settle, table
 
@@ -27,6 +28,15 @@ def p3_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_links(spark, sf_dir).select("row_a", "row_b")
+
+
+def p4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of p4_found with their confidence."""
+    return variant_links(table(spark, sf_dir, "wikipedia_wrecks"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_groups(table(spark, sf_dir, "dedupe_wrecks"))
 
@@ -50,6 +60,7 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p4_found": p4_found, "p4_links": p4_links,
     "p3_found": p3_found, "p3_survivors": p3_survivors, "p6_found": p6_found, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares,
 }
 
