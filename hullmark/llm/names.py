@@ -44,7 +44,7 @@ NAMELESS = {
     "barge", "boat", "wreckage", "remains", "foul", "foul ground", "",
 }
 # Things on a chart that are no ships.
-NO_SHIP = {"pile", "piles", "fish haven", "buoy anchor", "well", "wellhead", "crib", "platform", "snag", "stump", "dolphin pile", "pipe", "pipeline", "cable", "anchor", "rock", "mooring", "mooring buoy", "diffuser"}
+NO_SHIP = {"pile", "piles", "fish haven", "buoy anchor", "well", "wellhead", "crib", "platform", "snag", "stump", "dolphin pile", "pipe", "pipeline", "cable", "anchor", "rock", "dolphin", "dolphins", "mooring", "mooring buoy", "diffuser"}
 
 _NICK = {s: full for full, shorts in GIVEN.items() for s in shorts.split()}
 _SHORT_TITLE = {s: t for t, s in TITLES.items()}

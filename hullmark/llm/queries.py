@@ -7,12 +7,23 @@ from pyspark.sql import functions as F
 
 from hullmark.llm.encode import encode
 from hullmark.llm.groups import linked_groups
+from hullmark.llm.linkage import match
 from hullmark.llm.mixing import mix, reached_shares
 from hullmark.llm.spellings import variant_links
 from hullmark.llm.survivors import best_values, is_article, is_depth
 from hullmark.session import settle, table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_matches(spark, sf_dir).select("noaa_row", "wiki_row")
+
+
+def p1_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs of p1_found with their confidence."""
+    pairs = match(table(spark, sf_dir, "noaa_enc_wrecks"), table(spark, sf_dir, "wikipedia_wrecks"))
+    return pairs.select(F.col("chart_row").alias("noaa_row"), F.col("list_row").alias("wiki_row"), "confidence")
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_survivors(spark, sf_dir).select("group_id", "field_name", "from_id")
 
@@ -60,7 +71,7 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p4_found": p4_found, "p4_links": p4_links,
+    "p1_found": p1_found, "p1_matches": p1_matches, "p4_found": p4_found, "p4_links": p4_links,
     "p3_found": p3_found, "p3_survivors": p3_survivors, "p6_found": p6_found, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares,
 }
 
