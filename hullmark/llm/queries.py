@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hullmark.llm.abuse import scored, source_rates, trained
 from hullmark.llm.encode import encode
 from hullmark.llm.groups import linked_groups
 from hullmark.llm.linkage import match
-from hullmark.llm.mixing import mix, reached_shares
+from hullmark.llm.mixing import mix, plain_source, reached_shares
 from hullmark.llm.spellings import variant_links
 from hullmark.llm.survivors import best_values, is_article, is_depth
 from hullmark.session import settle, table
@@ -70,9 +71,32 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reached_shares(settle(_mixed(spark, sf_dir)), table(spark, sf_dir, "mix_targets"))
 
 
+HARMFUL = 0.5
+
+
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, _ = trained(docs, table(spark, sf_dir, "passage_labels"))
+    return scored(docs, model)
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(spark, sf_dir).where(F.col("score") >= HARMFUL).select("doc_id")
+
+
+def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(spark, sf_dir)
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return source_rates(_scores(spark, sf_dir).join(docs, "doc_id"), plain_source(F.col("source")), HARMFUL)
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_matches": p1_matches, "p4_found": p4_found, "p4_links": p4_links,
     "p3_found": p3_found, "p3_survivors": p3_survivors, "p6_found": p6_found, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares,
+    "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates,
 }
 
 _GROUPS = """
