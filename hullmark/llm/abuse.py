@@ -167,9 +167,11 @@ def train(parts: list[str], labels: np.ndarray, weights: np.ndarray, dim: int =
     return table
 
 
-def _bad(z: np.ndarray) -> np.ndarray:
-    """Probability of any class but the first."""
-    z = z - z.max(1, keepdims=True)
+def _bad(z: np.ndarray, unknown: np.ndarray) -> np.ndarray:
+    """Probability of any class but the first. Features never trained on speak for the first class."""
+    z = z.copy()
+    z[:, 0] += 3 * unknown**2
+    z -= z.max(1, keepdims=True)
     e = np.exp(z)
     return 1 - e[:, 0] / e.sum(1)
 
@@ -180,19 +182,23 @@ def score_passages(table: np.ndarray, parts: list[str], window: int = 10, step:
         return np.zeros(0)
     bag = Bag(parts)
     n = len(bag.letters)
-    sums, counts = np.zeros((n + 1, len(CLASSES))), np.zeros(n + 1)
+    sums, counts, fresh = np.zeros((n + 1, len(CLASSES))), np.zeros(n + 1), np.zeros(n + 1)
+    trained_on = np.any(table != 0, axis=1)
     for at, bucket in bag.features():
+        fresh[1:] += np.bincount(at, ~trained_on[bucket], n)
         for k in range(len(CLASSES)):
             sums[1:, k] += np.bincount(at, table[bucket, k], n)
         counts[1:] += np.bincount(at, minlength=n)
     np.cumsum(sums, 0, out=sums)
     np.cumsum(counts, out=counts)
+    np.cumsum(fresh, out=fresh)
     ends = bag.starts + bag.lengths
 
     def between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         n_features = counts[b] - counts[a]
         # a few letters alone prove little
-        return _bad((sums[b] - sums[a]) / np.maximum(n_features, 1)[:, None]) * np.minimum(1.0, n_features / 25)
+        n = np.maximum(n_features, 1)
+        return _bad((sums[b] - sums[a]) / n[:, None], (fresh[b] - fresh[a]) / n) * np.minimum(1.0, n_features / 25)
 
     worst = between(bag.starts, ends)
     space = np.flatnonzero(bag.letters == 32)

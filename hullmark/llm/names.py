@@ -50,6 +50,7 @@ _NICK = {s: full for full, shorts in GIVEN.items() for s in shorts.split()}
 _SHORT_TITLE = {s: t for t, s in TITLES.items()}
 _ROMAN = {r: i + 1 for i, r in enumerate("i ii iii iv v vi vii viii ix x xi xii xiii xiv xv xvi xvii xviii xix xx".split())}
 _OUT = re.compile(r"^(?:" + "|".join(sorted(map(re.escape, WRITTEN_OUT), key=lambda w: -len(w))) + r")\b")
+_OUT_FIRST, _PREFIX_SET = {w[0] for w in WRITTEN_OUT}, set(PREFIXES)
 _FOLD = str.maketrans({"ø": "o", "œ": "oe", "æ": "ae", "ß": "ss", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "ı": "i", "’": "'", "‘": "'", "“": '"', "”": '"', "–": "-", "—": "-"})
 _MARKS = re.compile(r"\[(?:\d+|[a-z]|note \d+|nb \d+|citation needed)\]")
 _DOTTED = re.compile(r"(?<![a-z])(?:[a-z][./]){1,4}[a-z]\.?(?![a-z])|(?<![a-z])[a-z]/[a-z](?![a-z])")
@@ -57,6 +58,13 @@ _WRECK_OF = re.compile(r"^(?:(?:the )?(?:wreck|wk|rems?|remains|wreckage|hulk)\.
 _AFTER = re.compile(r"[\s,]+(?:\(?(?:pa|pd|ed|rep|wk|wreck|sub|pos approx)\)?)\.?$")
 
 
+_INSIDE, _BRACKETS, _NO_LETTERS, _WORD = re.compile(r"\(([^)]*)\)"), re.compile(r"\([^)]*\)?"), re.compile("[^a-z]+"), re.compile(r"[a-z]+|\d+")
+_NUMBER = re.compile(r"[\s,-]*(?:\bno\.? ?|#|-|\bnr\.? ?|\bnumber )?\b(\d{1,4})$")
+_END, _AND, _INITIAL = re.compile(r"[\s,#-]+$|\s+no\.?$"), re.compile(r"\s*(?:&|\+)\s*| and "), re.compile(r"[a-z]\. ")
+_TAILS = ("pa", "pd", "ed", "rep", "wk", "wreck", "sub", "approx")
+_NAMELESS_FIRST = {w.split(" ")[0] for w in NAMELESS} | {""}
+
+
 class Name(NamedTuple):
     stem: str  # letters of the name proper, run together
     given: str  # a full given name or title, a short form with a point, an initial, or ''
@@ -67,17 +75,19 @@ class Name(NamedTuple):
 
 
 def fold(text: str) -> str:
+    if text.isascii():
+        return text.lower()
     text = unicodedata.normalize("NFKD", text.casefold().translate(_FOLD))
     return "".join(c for c in text if not unicodedata.combining(c) and unicodedata.category(c) not in ("Cf", "Cc"))
 
 
-def _given(word: str, dotted: bool, rest: bool) -> str:
+def _given(word: str, dotted: bool, rest: bool, mount: bool) -> str:
     """The given name or title that a leading word is, or ''."""
     if not rest:
         return ""
     if word in GIVEN or word in TITLES:
         return word
-    if word in _SHORT_TITLE and (word != "mt" or dotted):
+    if word in _SHORT_TITLE and (word != "mt" or dotted or mount):
         return _SHORT_TITLE[word]
     if word in _NICK:
         return _NICK[word]
@@ -123,12 +133,12 @@ def distance(a: str, b: str, most: int = 99) -> int:
 
 
 def _prefix(text: str) -> tuple[str, str]:
-    m = _OUT.match(text)
+    m = _OUT.match(text) if text[:1] in _OUT_FIRST else None
     if m and len(text) > m.end():
         return WRITTEN_OUT[m.group()], text[m.end() :].strip()
     word, _, rest = text.partition(" ")
-    bare = word.rstrip(".").replace("/", "").replace(".", "")
-    if bare in PREFIXES and rest and not (word == "mt." ):
+    bare = word if word.isalpha() else word.replace("/", "").replace(".", "")
+    if bare in _PREFIX_SET and rest and word != "mt.":
         return bare, rest.strip()
     return "", text
 
@@ -137,12 +147,16 @@ def parse(raw: str | None) -> Name | None:
     """The parts of a ship's name; None where there is none (empty, a placeholder, no ship)."""
     if not raw:
         return None
-    t = " ".join(_MARKS.sub("", fold(raw)).replace('"', " ").split()).strip(" '.,;:|")
+    t = fold(raw)
+    if "[" in t:
+        t = _MARKS.sub("", t)
+    t = " ".join(t.replace('"', " ").split()).strip(" '.,;:|")
     if not t:
         return None
-    t = _WRECK_OF.sub("", t)
+    if " of " in t:
+        t = _WRECK_OF.sub("", t)
     prefix, year = "", 0
-    for inside in re.findall(r"\(([^)]*)\)", t):
+    for inside in _INSIDE.findall(t) if "(" in t else ():
         inside = inside.strip()
         if re.fullmatch(r"1[5-9]\d\d|20\d\d", inside):
             year = int(inside)
@@ -150,15 +164,18 @@ def parse(raw: str | None) -> Name | None:
             p = WRITTEN_OUT.get(inside) or inside.replace(".", "").replace("/", "")
             if p in PREFIXES:
                 prefix = p
-    t = re.sub(r"\([^)]*\)?", " ", t)
-    while True:
+    if "(" in t:
+        t = _BRACKETS.sub(" ", t)
+    while t.rstrip(" .)").endswith(_TAILS):
         cut = _AFTER.sub("", t).strip(" ,;")
         if cut == t:
             break
         t = cut
-    if re.sub(r"[^a-z]+", " ", t).strip() in NAMELESS:
+    if (t.partition(" ")[0] in _NAMELESS_FIRST or not t[:1].isalpha()) and _NO_LETTERS.sub(" ", t).strip() in NAMELESS:
         return None
-    t = _DOTTED.sub(lambda m: re.sub("[./]", "", m.group()) + (" " if m.group().endswith(".") else ""), t) if _DOTTED.search(t) and not re.fullmatch(r"[a-z]\. .*", t) else t
+    if "." in t or "/" in t:
+        if not _INITIAL.match(t):
+            t = _DOTTED.sub(lambda m: m.group().replace(".", "").replace("/", "") + (" " if m.group().endswith(".") else ""), t)
     t = " ".join(t.split())
     p, t = _prefix(t)
     prefix = p or prefix
@@ -173,27 +190,30 @@ def parse(raw: str | None) -> Name | None:
                 t = f"{tail} {head}"
             p, t = _prefix(t)
             prefix = prefix or p
-    t = re.sub(r"^the (?=.)", "", t.strip())
-    p, t = _prefix(t)
-    prefix = prefix or p
+    t = t.strip()
+    if t.startswith("the ") and len(t) > 4:
+        t = t[4:]
+        p, t = _prefix(t)
+        prefix = prefix or p
     number = 0
-    m = re.search(r"[\s,-]*(?:\bno\.? ?|#|-|\bnr\.? ?|\bnumber )?\b(\d{1,4})$", t)
+    m = _NUMBER.search(t) if t[-1:].isdigit() else None
     if m and m.start() > 0:
         number, t = int(m.group(1)), t[: m.start()]
     else:
         head, _, last = t.rpartition(" ")
         if head and last in _ROMAN and last != "i":
             number, t = _ROMAN[last], head
-    t = re.sub(r"[\s,#-]+$|\s+no\.?$", "", t)
-    t = " ".join(sorted(re.split(r"\s*(?:&|\+)\s*| and ", t), key=lambda w: (len(w) < 9, w)))  # the order of two names joined by "and" tells nothing
+    t = _END.sub("", t)
+    if "&" in t or "+" in t or " and " in t:
+        t = " ".join(sorted(_AND.split(t), key=lambda w: (len(w) < 9, w)))  # the order of two names joined by "and" tells nothing
     first, _, rest = t.partition(" ")
-    words = re.findall(r"[a-z]+|\d+", rest.replace("'", ""))
-    given = _given(re.sub(r"[^a-z]", "", first), first.endswith("."), bool(words))
+    words = _WORD.findall(rest.replace("'", ""))
+    given = _given(first if first.isalpha() else _NO_LETTERS.sub("", first), first.endswith("."), bool(words), prefix != "")
     if not given:
-        words = re.findall(r"[a-z]+|\d+", t.replace("'", ""))
+        words = _WORD.findall(t.replace("'", ""))
     stem = "".join(words)
     plain = " ".join(words)
-    if plain in NAMELESS or plain in NO_SHIP or len(stem) < 3 or not re.search("[a-z]", stem):
+    if plain in NAMELESS or plain in NO_SHIP or len(stem) < 3 or stem.isdigit():
         return None
     return Name(stem, given, number, prefix, year, tuple(words))
 

@@ -71,7 +71,7 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reached_shares(settle(_mixed(spark, sf_dir)), table(spark, sf_dir, "mix_targets"))
 
 
-HARMFUL = 0.5
+HARMFUL = 0.4
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
