@@ -134,7 +134,7 @@ def test_stem_links_with_pivots(spark):
     rng = random.Random(4)
     words = sorted({"".join(rng.choice("abdegilnorsuvz") for _ in range(rng.randrange(6, 12))) for _ in range(150)})
     words += [w[:3] + "x" + w[3:] for w in words[:60]]
-    df = spark.createDataFrame([(1900, w) for w in words] + [(1901, words[0])], "year int, stem string")
+    df = spark.createDataFrame([(1900, w) for w in words] + [(1901, words[0])], "year int, stem string").withColumn("asks", F.lit(True))
     want = {(a, b) for a in words for b in words if a != b and names.distance(a, b) <= (3 if min(len(a), len(b)) >= 9 else 2)}
     got = {(r.a, r.b) for r in spellings.stem_links(df, per_pivot=20).collect()}
     assert got == want
