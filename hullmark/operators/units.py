@@ -1,7 +1,8 @@
 """Quantities stated in different units, brought to one unit.
 
-Reading is by expressions (no Python): a statement is cut into a number, a unit token and
-at most one smaller part. Each spelling of a unit, and each way of naming it apart from
+A statement is cut into a number, a unit token and at most one smaller part. That runs in
+Arrow batches: the patterns need look-behind over some words, for which Java's matcher takes
+several times the time of the one used here. Each spelling of a unit, and each way of naming it apart from
 the number, is a *source* of values. Conversion follows the sources, not a list of words:
 
 1. rows that describe the same entity are linked by an exact key;
@@ -20,6 +21,8 @@ from __future__ import annotations
 import heapq
 import math
 
+import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +41,6 @@ SPELLINGS = {
 }
 UNIT_OF = {word: unit for unit, words in SPELLINGS.items() for word in words}
 
-# What a unit that is written out contains, whatever its ending.
-_STEMS = {"metre": ["metre", "meter", "mètre"], "foot": ["feet", "foot"], "fathom": ["fathom"], "yard": ["yard"], "inch": ["inch"], "centimetre": ["metre"], "kilometre": ["metre"]}
-
 # A larger unit and the smaller one that may follow as its part.
 _PARTS = {("fathom", "foot"), ("fathom", "inch"), ("yard", "foot"), ("foot", "inch"), ("metre", "centimetre")}
 
@@ -78,103 +78,107 @@ _STATED = (
 )
 
 
-_BLANKS = "\t\n\r\u00a0\u2002\u2003\u2007\u2009\u200a\u202f\u3000"
-_UNSEEN = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
-
-
-def tidy(text: Column) -> Column:
-    """Lower case, plain single spaces, no invisible signs or footnote marks; '' for null."""
-    out = F.translate(F.lower(F.coalesce(text, F.lit(""))), _BLANKS + _UNSEEN, " " * len(_BLANKS))
-    out = F.when(F.contains(out, F.lit("[")), F.regexp_replace(out, r"\[(?:\d+|[a-z]|note \d+|nb \d+|citation needed)\]", "")).otherwise(out)
-    return F.trim(F.when(F.contains(out, F.lit("  ")), F.regexp_replace(out, " {2,}", " ")).otherwise(out))
-
-
-def may_measure(text: Column) -> Column:
-    """A cheap necessary condition for a quantity: a digit or fraction ahead of what may begin a unit, or a unit written out."""
-    words = [F.contains(text, F.lit(w)) for u in METRES for w in _STEMS[u]]
-    told = words[0]
-    for w in words[1:]:
-        told = told | w
-    return told | text.rlike(r"""[\d½¼¾⅓⅔⅛⅜⅝⅞][ -]?[fmyick'"′’″”]""")
-
-
-def _lookup(pairs: dict[str, float]) -> Column:
-    return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
-
-
-def _plain_number(text: Column) -> Column:
+_TIDY = {ord(c): " " for c in "\t\n\r\u00a0\u2002\u2003\u2007\u2009\u200a\u202f\u3000"} | dict.fromkeys(map(ord, "\u200b\u200c\u200d\u2060\ufeff\u00ad"))
+_SIGNS = {"½": 0.5, "¼": 0.25, "¾": 0.75, "⅓": 1 / 3, "⅔": 2 / 3, "⅛": 0.125, "⅜": 0.375, "⅝": 0.625, "⅞": 0.875}
+_FULL = {w: i + 1 for i, w in enumerate(ONES)} | {w: 10 * (i + 2) for i, w in enumerate(TENS)}
+_MARKS = regex.compile(r"\[(?:\d+|[a-z]|note \d+|nb \d+|citation needed)\]")
+#: A cheap necessary condition for a quantity in a note.
+_MAYBE = regex.compile(r"""[\d½¼¾⅓⅔⅛⅜⅝⅞][ -]?[fmyick'"′’″”]|[a-z][ -](?:fath|feet|foot|ft|met|mtr|yard|cent|inch)""")
+_SOME = regex.compile(r"[1-9½¼¾]|" + _SPELT)
+_COLUMN = regex.compile(_QUANTITY)
+_ALONE = regex.compile(r"^" + _ROUGHLY + r"(\d[\d,.]*)( ?[½¼¾])?" + _RANGE + r" ?(?:deep)? ?(?:\(\?\)|\?)?$")
+_DEPTH_AFTER = regex.compile(_START + r"(?<!" + _OTHER + r".{0,14})" + _QUANTITY + _ASIDE + "(?=" + _AFTER + ")")
+_NO_DEPTH = r"(?! ?(?:long|wide|broad|high|above|of chain|off\b|from\b|in length|in diameter|apart|away))"
+_DEPTH_BEFORE = regex.compile(_BEFORE + _ROUGHLY + r"(?=" + _QUANTITY + _NO_DEPTH + ")")
+_UNIT_TOLD = regex.compile(_STATED)
+
+
+def tidy(text: str | None) -> str:
+    """Lower case, plain single blanks, no invisible signs or footnote marks."""
+    if not isinstance(text, str) or not text:
+        return ""
+    t = text.lower()
+    if not t.isascii():
+        t = t.translate(_TIDY)
+    if "[" in t:
+        t = _MARKS.sub("", t)
+    return " ".join(t.split())
+
+
+def plain_number(text: str) -> float | None:
     """A number written in digits. A comma before exactly three digits groups thousands,
     any other comma or a point marks decimals."""
-    grouped = F.regexp_replace(text, r"(?<=\d)[, ](?=\d{3}(?!\d))", "")
-    return F.regexp_replace(F.regexp_replace(grouped, ",", "."), r"\.+$", "").try_cast("double")
+    t = regex.sub(r"(?<=\d)[, ](?=\d{3}(?!\d))", "", text).replace(",", ".").rstrip(".")
+    try:
+        return float(t)
+    except ValueError:
+        return None
 
 
-def _spelt_number(text: Column) -> Column:
+def spelt_number(text: str) -> float:
     """A number in words, below a million."""
-    value = _lookup({w: float(i + 1) for i, w in enumerate(ONES)} | {w: 10.0 * (i + 2) for i, w in enumerate(TENS)} | {"hundred": 100.0, "thousand": 1000.0})
-    words = F.filter(F.split(text, "[ -]+"), lambda w: w != "and")
-    # whole: thousands so far; part: what is below a thousand
-    zero = F.struct(F.lit(0.0).alias("whole"), F.lit(0.0).alias("part"))
-
-    def step(acc: Column, word: Column) -> Column:
-        v = F.try_element_at(value, word)
-        part = F.when(word == "hundred", F.greatest(acc["part"], F.lit(1.0)) * 100).when(word == "thousand", F.lit(0.0)).otherwise(acc["part"] + v)
-        whole = F.when(word == "thousand", acc["whole"] + F.greatest(acc["part"], F.lit(1.0)) * 1000).otherwise(acc["whole"])
-        return F.struct(whole.alias("whole"), part.alias("part"))
+    whole = part = 0
+    for w in regex.split("[ -]+", text):
+        if w == "hundred":
+            part = max(part, 1) * 100
+        elif w == "thousand":
+            whole, part = whole + max(part, 1) * 1000, 0
+        else:
+            part += _FULL.get(w, 0)
+    return float(whole + part)
 
-    return F.aggregate(words, zero, step, lambda acc: acc["whole"] + acc["part"])
 
+def number(text: str, fraction: str | None) -> float | None:
+    value = plain_number(text) if text[:1].isdigit() else spelt_number(text)
+    f = (fraction or "").strip(" -")
+    if value is None or not f:
+        return value
+    over = regex.fullmatch(r"(\d+)[/⁄](\d+)", f)
+    return value + (int(over[1]) / int(over[2]) if over and int(over[2]) else _SIGNS.get(f, 0.0))
 
-def _number(text: Column, fraction: Column) -> Column:
-    signs = _lookup({"½": 0.5, "¼": 0.25, "¾": 0.75, "⅓": 1 / 3, "⅔": 2 / 3, "⅛": 0.125, "⅜": 0.375, "⅝": 0.625, "⅞": 0.875})
-    f = F.trim(fraction)
-    over = F.regexp_extract(f, r"(\d+)[/⁄](\d+)", 1).try_cast("double") / F.nullif(F.regexp_extract(f, r"(\d+)[/⁄](\d+)", 2).try_cast("double"), F.lit(0.0))
-    extra = F.when(f == "", F.lit(0.0)).otherwise(F.coalesce(F.try_element_at(signs, f), over, F.lit(0.0)))
-    return F.when(text.rlike(r"^\d"), _plain_number(text)).otherwise(_spelt_number(text)) + extra
 
-
-def stated_depths(df: DataFrame, column: str = "depth_m", note: str = "note") -> DataFrame:
-    """``df`` with ``_q`` (value, token, value2, token2), null where no depth is stated.
+def statement(column: str | None, note: str | None) -> tuple[float, str, float | None, str | None] | None:
+    """(value, unit token, value of a smaller part, its token) of the depth that is stated, or None.
 
     The column goes before the note. A number alone gets the token ``note:<unit word>`` if
     the note names a unit for the depth or tells a depth itself, else ``bare``.
     """
-    # one projection per step: each text is searched once, however often its result is used
-    out = df.withColumn("_c", tidy(F.col(column).cast("string"))).withColumn("_t", tidy(F.col(note)))
-    out = out.withColumn("_m", may_measure(F.col("_t")))
-    some = r"[1-9½¼¾]|" + _SPELT
-    c, t = F.col("_c"), F.col("_t")
-    out = out.withColumn("_f", F.when(c.rlike(some), F.regexp_extract(c, _QUANTITY, 0)).otherwise(""))
-    alone = r"^" + _ROUGHLY + r"(\d[\d,.]*(?: ?[½¼¾])?)" + _RANGE + r" ?(?:deep)? ?(?:\(\?\)|\?)?$"
-    out = out.withColumn("_a", F.when((F.col("_f") == "") & c.rlike("[1-9½¼¾]"), F.regexp_extract(c, alone, 1)).otherwise(""))
-    # a quantity with a depth word after it, or one ahead of it
-    after = _START + r"(?<!" + _OTHER + r".{0,14})" + _QUANTITY + _ASIDE + "(?=" + _AFTER + ")"
-    no_depth = r"(?! ?(?:long|wide|broad|high|above|of chain|off\b|from\b|in length|in diameter|apart|away))"
-    before = _BEFORE + _ROUGHLY + r"(?=" + _QUANTITY + no_depth + r")([^;]{1,60})"
-    need = (F.col("_f") == "") & F.col("_m")
-    out = out.withColumn("_n", F.when(need, F.regexp_extract(t, after, 0)).otherwise(""))
-    out = out.withColumn("_n", F.when(need & (F.col("_n") == ""), F.regexp_extract(t, before, 6)).otherwise(F.col("_n")))
-    out = out.withColumn("_f", F.when(F.col("_f") == "", F.col("_n")).otherwise(F.col("_f")))
-    for i in range(5):
-        out = out.withColumn(f"_p{i}", F.when(F.col("_f") != "", F.regexp_extract("_f", _QUANTITY, i + 1)).otherwise(""))
-    adds = _lookup({x + " " + y: 1.0 for x, u in UNIT_OF.items() for y, v in UNIT_OF.items() if (u, v) in _PARTS})
-    out = out.withColumn("_part", F.try_element_at(adds, F.concat_ws(" ", "_p2", "_p4")).isNotNull())
-    unit_word = F.when(F.col("_a") != "", F.regexp_extract(t, _STATED, 1)).otherwise("")
-    # a number alone has the unit named for the depth, or that of the depth the note tells
-    out = out.withColumn("_u", F.coalesce(F.nullif(unit_word, F.lit("")), F.when(F.col("_a") != "", F.col("_p2")), F.lit("")))
-    number = F.when(F.col("_a") != "", F.regexp_extract("_a", r"^[\d,.]+", 0)).otherwise(F.col("_p0"))
-    fraction = F.when(F.col("_a") != "", F.regexp_extract("_a", "[½¼¾]", 0)).otherwise(F.col("_p1"))
-    out = out.withColumn("_num", number).withColumn("_frac", fraction)
-    token = F.when(F.col("_a") == "", F.col("_p2")).when(F.col("_u") == "", F.lit("bare")).otherwise(F.concat(F.lit("note:"), F.col("_u")))
-    quantity = F.struct(
-        _number(F.col("_num"), F.col("_frac")).alias("value"), token.alias("token"),
-        F.when(F.col("_part") & (F.col("_a") == ""), _plain_number(F.col("_p3"))).alias("value2"),
-        F.when(F.col("_part") & (F.col("_a") == ""), F.col("_p4")).alias("token2"),
-    )
-    out = out.withColumn("_q", F.when(F.col("_num") != "", quantity))
-    # rand() is never below 0: it only keeps a later filter on _q from being pushed down
-    # through all the steps, where it would repeat every search many times over
-    return out.select(*df.columns, F.when((F.col("_q.value") > 0) & (F.rand(0) >= 0), F.col("_q")).alias("_q"))
+    c = tidy(column)
+    found = alone = None
+    if c and _SOME.search(c):
+        found = _COLUMN.search(c)
+        alone = None if found else _ALONE.match(c)
+    text = ""
+    if not found:
+        text = tidy(note)
+        if _MAYBE.search(text):
+            found = _DEPTH_AFTER.search(text) or _DEPTH_BEFORE.search(text)
+    if alone and (value := number(alone[1], alone[2])):
+        told = _UNIT_TOLD.search(text)
+        unit = told[1] if told else found[3] if found else None
+        return value, f"note:{unit}" if unit else "bare", None, None
+    if not found:
+        return None
+    value = number(found[1], found[2])
+    if not value or value <= 0:
+        return None
+    if found[4] and (UNIT_OF[found[3]], UNIT_OF[found[5]]) in _PARTS:
+        return value, found[3], plain_number(found[4]), found[5]
+    return value, found[3], None, None
+
+
+def _statements(column: pd.Series, note: pd.Series) -> pd.DataFrame:
+    told = [statement(c, n) or (None, None, None, None) for c, n in zip(column, note, strict=True)]
+    out = pd.DataFrame(told, columns=["value", "token", "value2", "token2"])
+    return out.astype({"value": "float64", "value2": "float64", "token": object, "token2": object})
+
+
+def stated_depths(df: DataFrame, column: str = "depth_m", note: str = "note") -> DataFrame:
+    """``df`` with ``_q`` (value, token, value2, token2), null where no depth is stated; see ``statement``."""
+    # not deterministic only in name: else a filter on the result would run the search twice
+    read = F.pandas_udf(_statements, "value double, token string, value2 double, token2 string").asNondeterministic()
+    out = df.withColumn("_q", read(F.col(column).cast("string"), F.col(note)))
+    return out.select(*df.columns, F.when(F.col("_q.value") > 0, F.col("_q")).alias("_q"))
 
 
 def unit_of(token: str) -> str | None:
