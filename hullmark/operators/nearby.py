@@ -188,4 +188,5 @@ def boxes_of(points: DataFrame, boxes: DataFrame, key: str = "row_no", cell_deg:
     at = points.where(possible()).select(F.col(key), F.col("latitude").alias("_la"), F.col("longitude").alias("_lo"))
     at = at.withColumn("gy", step(F.col("_la"))).withColumn("gx", step(F.col("_lo")))
     inside = F.col("_la").between(F.col("lat_min"), F.col("lat_max")) & F.col("_lo").between(F.col("w"), F.col("e"))
-    return at.join(grid, ["gy", "gx"]).where(inside).select(key, "enc_cell", "band").distinct()
+    # a point has one cell, and the two parts of a cut box have no point in common
+    return at.join(grid, ["gy", "gx"]).where(inside).select(key, "enc_cell", "band")
