@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hullmark.llm.names import parse
-from hullmark.llm.spellings import agree, position_gap, read_rows, ship_links
+from hullmark.llm.spellings import agree, links_of_read, position_gap, read_rows
 from hullmark.session import settle
 
 # Phrases ahead of a ship's name in a chart note.
@@ -119,11 +119,11 @@ def match(chart_rows: DataFrame, list_rows: DataFrame, near_km: float = 30.0, ro
     table on either side gives none. Missing and impossible positions count as missing.
     """
     chart = settle(read_chart(chart_rows))
-    ships = read_rows(list_rows)
-    edges = settle(stem_edges(chart, settle(ships.select("stem").distinct())))
+    listed = settle(read_rows(list_rows))
+    edges = settle(stem_edges(chart, listed))
     met_a, met_b = edges.select(F.col("a").alias("stem")).distinct(), edges.select(F.col("b").alias("stem")).distinct()
     chart = settle(chart.join(met_a, "stem", "left_semi").select(*chart.columns))
-    ships = settle(ships.join(met_b, "stem", "left_semi").select(*ships.columns))
+    ships = settle(listed.join(met_b, "stem", "left_semi").select(*listed.columns))
     there = F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & ~F.isnan("latitude") & ~F.isnan("longitude")
 
     lat, lon = F.col("latitude"), F.col("longitude")
@@ -139,9 +139,11 @@ def match(chart_rows: DataFrame, list_rows: DataFrame, near_km: float = 30.0, ro
     ).select(F.col("n.row_no").alias("x"), F.col("w.row_no").alias("y"), (1 - 0.1 * F.col("e.d") - F.when(gap > 10, 0.1).otherwise(0.0)).alias("s"))
     pairs = settle(placed.groupBy("x", "y").agg(F.max("s").alias("s")))
 
-    # names alone
-    links = settle(ship_links(list_rows.join(ships.select("row_no"), "row_no", "left_semi")).select("row_a", "row_b", "confidence"))
+    # links among all list rows: a stem that meets no chart stem is reached through a linked row
+    links = settle(links_of_read(listed).select("row_a", "row_b", "confidence"))
     both = settle(links.unionByName(links.select(F.col("row_b").alias("row_a"), F.col("row_a").alias("row_b"), "confidence")))
+
+    # names alone
     with_place = ships.where(there).select("row_no")
     by_place = both.join(with_place.withColumnRenamed("row_no", "row_b"), "row_b", "left_semi").select(F.col("row_a").alias("row_no"))
     unplaced = ships.where(~there).join(by_place, "row_no", "left_anti").select("*", F.lit(False).alias("far"))
@@ -156,6 +158,13 @@ def match(chart_rows: DataFrame, list_rows: DataFrame, near_km: float = 30.0, ro
     by_name = n.join(e, F.col("n.stem") == F.col("e.a")).join(lone, (F.col("e.b") == F.col("w.stem")) & (F.col("n.number") == F.col("w.number"))).where(
         (~F.col("w.far") | ~F.col("n.seen")) & agree("n", "w") & year_ok & (F.length("n.stem") >= 7) & (F.col("e.d") <= 2)
     ).select(F.col("n.row_no").alias("x"), F.col("w.row_no").alias("y"), (0.7 - 0.1 * F.col("e.d")).alias("s"))
+    # linked rows of stems that met no chart stem were not compared by place; theirs may speak against it
+    others = listed.where(there).join(met_b, "stem", "left_anti").select(F.col("row_no").alias("row_b"), "latitude", "longitude")
+    others = both.join(others, "row_b").select(F.col("row_a").alias("y"), "latitude", "longitude")
+    by_name = settle(by_name)
+    told = by_name.select("x", "y").join(chart.where(there).select(F.col("row_no").alias("x"), "latitude", "longitude"), "x").alias("c").join(others.alias("o"), F.col("c.y") == F.col("o.y"))
+    against = told.where(position_gap("c", "o") > near_km).select("c.x", "c.y").distinct()
+    by_name = by_name.join(against, ["x", "y"], "left_anti")
     pairs = settle(pairs.unionByName(by_name).groupBy("x", "y").agg(F.max("s").alias("s")))
 
     # similarity spreads to rows that mean the same ship, until nothing is added

@@ -235,7 +235,11 @@ def ship_links(rows: DataFrame, near_km: float = 60.0) -> DataFrame:
     link; repeated rows are linked; an empty table gives none. Rows that tell no year are
     linked to rows at the same place, or else to the rows of one year's ship at most.
     """
-    read = settle(read_rows(rows))
+    return links_of_read(settle(read_rows(rows)), near_km)
+
+
+def links_of_read(read: DataFrame, near_km: float = 60.0) -> DataFrame:
+    """``ship_links`` of rows that ``read_rows`` gave; they are read several times, so they should be settled."""
     dated = read.where("year > 0")
     known = settle(dated.groupBy("year", "stem").count())
     near = stem_links(known.withColumn("asks", F.lit(True)))

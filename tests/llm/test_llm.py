@@ -164,6 +164,18 @@ def test_linkage(spark):
     assert linkage.match(a.where("row_no < 0"), b).count() == 0
 
 
+def test_linkage_reaches_variants_through_links(spark):
+    # the stem of rows 102, 104 and 202 shares no attribute with the chart's, but each is linked to the row before it
+    chart = [(1, "RELKANDOSMEGAR", None, 10.0, 20.0), (2, "VOLDINTASKEMUR", None, 30.0, 40.0), (3, "MARPENGOLDISTU", None, 30.0, 40.0)]
+    lists = [
+        (101, "Relkandosmegar", "", "1900", 10.0, 20.0, ""), (102, "Rtlkandosmegur", "", "1900", None, None, ""), (103, "Voldintaskemur", "", "1910", None, None, ""), (104, "Vtldintaskemor", "", "1910", 30.1, 40.0, ""),
+        (201, "Marpengoldistu", "", "1920", None, None, ""), (202, "Mtrpengoldisto", "", "1920", -60.0, 100.0, ""),
+    ]
+    a = spark.createDataFrame(chart, "row_no long, name string, note string, latitude double, longitude double")
+    b = spark.createDataFrame([(*r, "clash") for r in lists], LISTED)
+    assert {(r.chart_row, r.list_row) for r in linkage.match(a, b).collect()} == {(1, 101), (1, 102), (2, 103), (2, 104)}  # 202 lies elsewhere
+
+
 @pytest.mark.parametrize(("note", "name"), [("Wreck of the MV Foo.", "MV Foo"), ("Said by fishermen to be Bar. | PA", "Bar"), ("Local report: this is the Baz", "Baz"), ("Remains of Foo reported 1942; masts gone.", "Foo"), ("Foo Bar, sunk 1893.", "Foo Bar"), ("Masts removed 2002.", None), (None, None)])
 def test_name_in_note(note, name):
     got = linkage.name_in_note(note)
