@@ -110,7 +110,7 @@ def _cells(lat: Column, lon: Column, around: bool, deg: float = 0.5) -> Column:
     return F.flatten(F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda dy: F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda dx: F.struct((y + dy).alias("y"), F.pmod(x + dx, turn).alias("x")))))
 
 
-def match(chart_rows: DataFrame, list_rows: DataFrame, near_km: float = 30.0, rounds: int = 6) -> DataFrame:
+def match(chart_rows: DataFrame, list_rows: DataFrame, near_km: float = 30.0) -> DataFrame:
     """``chart_row, list_row, confidence`` of rows of the two sources that tell of one ship.
 
     ``chart_rows``: row_no, name, note, latitude, longitude. ``list_rows``: row_no, name,
@@ -169,7 +169,7 @@ def match(chart_rows: DataFrame, list_rows: DataFrame, near_km: float = 30.0, ro
 
     # similarity spreads to rows that mean the same ship, until nothing is added
     new = pairs
-    for _ in range(rounds):
+    while True:  # ends, as each round adds pairs of which there are finitely many
         reached = new.join(both, new["y"] == both["row_a"]).select("x", F.col("row_b").alias("y"), (F.col("s") * 0.95 * F.least(F.lit(1.0), F.col("confidence") + 0.1)).alias("s"))
         new = settle(reached.groupBy("x", "y").agg(F.max("s").alias("s")).join(pairs.select("x", "y"), ["x", "y"], "left_anti"))
         if new.isEmpty():

@@ -176,6 +176,15 @@ def test_linkage_reaches_variants_through_links(spark):
     assert {(r.chart_row, r.list_row) for r in linkage.match(a, b).collect()} == {(1, 101), (1, 102), (2, 103), (2, 104)}  # 202 lies elsewhere
 
 
+def test_similarity_spreads_until_nothing_is_added(spark):
+    # each row's name differs from the one before by three letters, so only the next is linked
+    base = "relkandosmegarvulpinatosdeburim"
+    names_ = ["".join("xzqj"[k % 4] if k < 3 * i else c for k, c in enumerate(base)) for i in range(9)]
+    a = spark.createDataFrame([(1, base.upper(), None, 10.0, 20.0)], "row_no long, name string, note string, latitude double, longitude double")
+    b = spark.createDataFrame([(100 + i, n, "", "1900", 10.0 if i == 0 else None, 20.0 if i == 0 else None, "", "clash") for i, n in enumerate(names_)], LISTED)
+    assert {r.list_row for r in linkage.match(a, b).collect()} == set(range(100, 109))
+
+
 @pytest.mark.parametrize(("note", "name"), [("Wreck of the MV Foo.", "MV Foo"), ("Said by fishermen to be Bar. | PA", "Bar"), ("Local report: this is the Baz", "Baz"), ("Remains of Foo reported 1942; masts gone.", "Foo"), ("Foo Bar, sunk 1893.", "Foo Bar"), ("Masts removed 2002.", None), (None, None)])
 def test_name_in_note(note, name):
     got = linkage.name_in_note(note)
