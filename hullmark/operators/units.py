@@ -11,9 +11,11 @@ the number, is a *source* of values. Conversion follows the sources, not a list
 3. a scale is snapped to a known conversion if one lies within ``tolerance``;
 4. conversions spread from the base unit through the graph of sources, strongest first.
 
-A source that no link reaches, or with fewer than ``min_links`` links, takes the
-definition of its word. The graph has one node per spelling, so it stays a few dozen
-rows whatever the size of the data.
+A known spelling has the definition of its word, which stands against contrary links: for it
+the links are a check. Any other word where a unit is expected is a source as well, and
+has the scale that the links give it; without ``min_links`` links it gives no value.
+All scales are ratios, so the offset is told (``pair_scales``) but never added. The
+graph has one node per spelling with links, which is all the driver holds.
 """
 
 from __future__ import annotations
@@ -91,6 +93,12 @@ _DEPTH_AFTER = regex.compile(_START + r"(?<!" + _OTHER + r".{0,14})" + _QUANTITY
 _NO_DEPTH = r"(?! ?(?:long|wide|broad|high|above|of chain|off\b|from\b|in length|in diameter|apart|away))"
 _DEPTH_BEFORE = regex.compile(_BEFORE + _ROUGHLY + r"(?=" + _QUANTITY + _NO_DEPTH + ")")
 _UNIT_TOLD = regex.compile(_STATED)
+#: The same with any word in the place of the unit; links decide whether it is one.
+_ANY = _START + _NUMBER + _RANGE + r"(?:[ -]|(?<=[\d½¼¾⅓⅔⅛⅜⅝⅞]))(\p{L}++)"
+_COLUMN_WORD = regex.compile(_ANY)
+_WORD_AFTER = regex.compile(r"(?<!" + _OTHER + r".{0,14})" + _ANY + r"\.?" + _ASIDE + "(?=" + _AFTER + ")")
+_WORD_BEFORE = regex.compile(_BEFORE + _ROUGHLY + r"(?=" + _ANY + _NO_DEPTH + ")")
+_WORD_TOLD = regex.compile(r"(?:depths?|soundings?)(?! of hold)(?: (?:is|are|was|were|here|given|stated|measured|taken|noted))* in (\p{L}++)")
 
 
 def tidy(text: str | None) -> str:
@@ -137,17 +145,26 @@ def number(text: str, fraction: str | None) -> float | None:
     return value + (int(over[1]) / int(over[2]) if over and int(over[2]) else _SIGNS.get(f, 0.0))
 
 
-def statement(column: str | None, note: str | None) -> tuple[float, str, float | None, str | None] | None:
-    """(value, unit token, value of a smaller part, its token) of the depth that is stated, or None.
+def _other(found: regex.Match | None) -> tuple[float, str] | None:
+    """A number and the word after it."""
+    value = number(found[1], found[2]) if found and found[3] not in UNIT_OF else None
+    return (value, found[3]) if value and value > 0 else None
+
+
+def statement(column: str | None, note: str | None) -> tuple[float | None, str | None, float | None, str | None, float | None, str | None] | None:
+    """(value, unit token, value of a smaller part, its token, other value, its word) of the depth that is stated, or None.
 
     The column goes before the note. A number alone gets the token ``note:<unit word>`` if
-    the note names a unit for the depth or tells a depth itself, else ``bare``.
+    the note names a unit for the depth or tells a depth itself, else ``bare``. A word that
+    is no known spelling, where a unit is expected, gives the other value: it goes before
+    the value if links tell the word's scale, and is nothing if they don't.
     """
     c = tidy(column)
-    found = alone = None
+    found = alone = other = None
     if c and _SOME.search(c):
         found = _COLUMN.search(c)
         alone = None if found else _ALONE.match(c)
+        other = None if found or alone else _other(_COLUMN_WORD.search(c))
     text = ""
     if not found:
         text = tidy(note)
@@ -156,29 +173,30 @@ def statement(column: str | None, note: str | None) -> tuple[float, str, float |
     if alone and (value := number(alone[1], alone[2])):
         told = _UNIT_TOLD.search(text)
         unit = told[1] if told else found[3] if found else None
-        return value, f"note:{unit}" if unit else "bare", None, None
-    if not found:
-        return None
-    value = number(found[1], found[2])
+        named = None if unit else _WORD_TOLD.search(text)
+        return value, f"note:{unit}" if unit else "bare", None, None, *((value, f"note:{named[1]}") if named else (None, None))
+    if not found and not other and _SOME.search(text):
+        other = _other(_WORD_AFTER.search(text) or _WORD_BEFORE.search(text))
+    value = number(found[1], found[2]) if found else None
     if not value or value <= 0:
-        return None
+        return (None, None, None, None, *other) if other else None
     if found[4] and (UNIT_OF[found[3]], UNIT_OF[found[5]]) in _PARTS:
-        return value, found[3], plain_number(found[4]), found[5]
-    return value, found[3], None, None
+        return value, found[3], plain_number(found[4]), found[5], *(other or (None, None))
+    return value, found[3], None, None, *(other or (None, None))
 
 
 def _statements(column: pd.Series, note: pd.Series) -> pd.DataFrame:
-    told = [statement(c, n) or (None, None, None, None) for c, n in zip(column, note, strict=True)]
-    out = pd.DataFrame(told, columns=["value", "token", "value2", "token2"])
-    return out.astype({"value": "float64", "value2": "float64", "token": object, "token2": object})
+    told = [statement(c, n) or (None,) * 6 for c, n in zip(column, note, strict=True)]
+    out = pd.DataFrame(told, columns=["value", "token", "value2", "token2", "other", "word"])
+    return out.astype({"value": "float64", "value2": "float64", "other": "float64", "token": object, "token2": object, "word": object})
 
 
 def stated_depths(df: DataFrame, column: str = "depth_m", note: str = "note") -> DataFrame:
-    """``df`` with ``_q`` (value, token, value2, token2), null where no depth is stated; see ``statement``."""
+    """``df`` with ``_q`` (value, token, value2, token2, other, word), null where no depth is stated; see ``statement``."""
     # not deterministic only in name: else a filter on the result would run the search twice
-    read = F.pandas_udf(_statements, "value double, token string, value2 double, token2 string").asNondeterministic()
+    read = F.pandas_udf(_statements, "value double, token string, value2 double, token2 string, other double, word string").asNondeterministic()
     out = df.withColumn("_q", read(F.col(column).cast("string"), F.col(note)))
-    return out.select(*df.columns, F.when(F.col("_q.value") > 0, F.col("_q")).alias("_q"))
+    return out.select(*df.columns, F.when((F.col("_q.value") > 0) | (F.col("_q.other") > 0), F.col("_q")).alias("_q"))
 
 
 def unit_of(token: str) -> str | None:
@@ -186,8 +204,21 @@ def unit_of(token: str) -> str | None:
     return "metre" if token == "bare" else UNIT_OF.get(token.removeprefix("note:"))
 
 
-def pair_scales(df: DataFrame, entity: str, value: str, token: str) -> DataFrame:
-    """For each two tokens: links, median log ratio b/a, its deviation, and the offset.
+def sources(df: DataFrame, entity: str) -> DataFrame:
+    """``_e, _v, _t``: entity, value and token of the statements of ``df._q`` that have one part.
+
+    A number alone whose note names an unknown unit speaks for that word only.
+    """
+    q = F.col("_q")
+    named = F.coalesce(F.startswith(q["word"], F.lit("note:")), F.lit(False))
+    own = F.when(q["token"].isNotNull() & q["token2"].isNull() & ~named, F.struct(q["value"].alias("v"), q["token"].alias("t")))
+    other = F.when(q["word"].isNotNull(), F.struct(q["other"].alias("v"), q["word"].alias("t")))
+    each = df.where(q.isNotNull()).select(F.col(entity).alias("_e"), F.explode(F.array_compact(F.array(own, other))).alias("_s"))
+    return each.select("_e", F.col("_s.v").alias("_v"), F.col("_s.t").alias("_t"))
+
+
+def pair_scales(df: DataFrame, entity: str, value: str, token: str, least: int = 1) -> DataFrame:
+    """For each two tokens with ``least`` links: links, median log ratio b/a, its deviation, and the offset.
 
     Only entities told by exactly one value per token count, so that a hot entity key
     adds at most one link per pair of tokens.
@@ -200,7 +231,7 @@ def pair_scales(df: DataFrame, entity: str, value: str, token: str) -> DataFrame
     links = a.select(F.col("a.t").alias("token_a"), F.col("a.v").alias("v_a"), F.explode(F.slice("all", F.col("i") + 2, F.size("all"))).alias("b")).select(
         "token_a", "v_a", F.col("b.t").alias("token_b"), F.col("b.v").alias("v_b")
     ).withColumn("r", F.log(F.col("v_b") / F.col("v_a")))
-    scale = links.groupBy("token_a", "token_b").agg(F.count("*").alias("links"), F.percentile_approx("r", 0.5, 1000).alias("log_scale"))
+    scale = links.groupBy("token_a", "token_b").agg(F.count("*").alias("links"), F.percentile_approx("r", 0.5, 1000).alias("log_scale")).where(F.col("links") >= least)
     near = links.join(F.broadcast(scale), ["token_a", "token_b"])  # one row per pair of spellings
     return near.groupBy("token_a", "token_b").agg(
         F.first("links").alias("links"), F.first("log_scale").alias("log_scale"),
@@ -253,13 +284,12 @@ def spread(edges: list[tuple[str, str, int, float, float]], tokens: set[str], ba
     return out
 
 
-def token_scales(df: DataFrame, entity: str) -> dict[str, tuple[float, str]]:
-    """Scales of all tokens of ``df._q``, by links between rows of one ``entity``."""
-    single = df.where(F.col("_q").isNotNull() & F.col("_q.token2").isNull())
-    values = single.select(F.col(entity).alias("_e"), F.col("_q.value").alias("_v"), F.col("_q.token").alias("_t"))
-    edges = [tuple(r)[:5] for r in pair_scales(values, "_e", "_v", "_t").select("token_a", "token_b", "links", "log_scale", "deviation").collect()]
+def token_scales(df: DataFrame, entity: str, min_links: int = 5) -> dict[str, tuple[float, str]]:
+    """Scales of all tokens of ``df._q``, by links between rows of one ``entity``; words without a definition or links have none."""
+    found = pair_scales(sources(df, entity), "_e", "_v", "_t", min_links)
+    edges = [tuple(r)[:5] for r in found.select("token_a", "token_b", "links", "log_scale", "deviation").collect()]
     seen = {r[0] for r in df.where(F.col("_q").isNotNull()).select(F.explode(F.array("_q.token", "_q.token2")).alias("t")).distinct().collect()} - {None}
-    return spread(edges, seen)
+    return spread(edges, seen | {t for e in edges for t in e[:2]}, min_links=min_links)
 
 
 def depths_in_metres(df: DataFrame, entity: Column, column: str = "depth_m", note: str = "note") -> DataFrame:
@@ -279,5 +309,8 @@ def depths_in_metres(df: DataFrame, entity: Column, column: str = "depth_m", not
     metres = F.create_map(*[x for t, (m, _) in scales.items() for x in (F.lit(t), F.lit(m))])
     how = F.create_map(*[x for t, (_, h) in scales.items() for x in (F.lit(t), F.lit(h))])
     q = F.col("_q")
-    value = q["value"] * F.try_element_at(metres, q["token"]) + F.coalesce(q["value2"] * F.try_element_at(metres, F.coalesce(q["token2"], F.lit(""))), F.lit(0.0))
-    return read.select(*kept, value.alias("depth_value_m"), F.try_element_at(how, q["token"]).alias("depth_scale_from")).where("depth_value_m > 0")
+    word = F.coalesce(q["word"], F.lit(""))
+    value = q["value"] * F.try_element_at(metres, F.coalesce(q["token"], F.lit(""))) + F.coalesce(q["value2"] * F.try_element_at(metres, F.coalesce(q["token2"], F.lit(""))), F.lit(0.0))
+    value = F.coalesce(q["other"] * F.try_element_at(metres, word), value)
+    told = F.coalesce(F.try_element_at(how, word), F.try_element_at(how, F.coalesce(q["token"], F.lit(""))))
+    return read.select(*kept, value.alias("depth_value_m"), told.alias("depth_scale_from")).where("depth_value_m > 0")

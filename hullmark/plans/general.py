@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hullmark.operators.nearby import boxes_of, radius_pairs
-from hullmark.operators.units import depths_in_metres, pair_scales, stated_depths
+from hullmark.operators.units import depths_in_metres, pair_scales, sources, stated_depths
 from hullmark.session import settle, table
 
 
@@ -36,9 +36,7 @@ def p5_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sources of depth values and the scale each pair of them shows."""
     rows = table(spark, sf_dir, "wikipedia_wrecks").select("row_no", "name", "date", "depth_m", "note")
     read = settle(stated_depths(rows.withColumn("_entity", ship_and_year())).where(F.col("_q").isNotNull()).select("_entity", "_q"))
-    read = read.where(F.col("_q.token2").isNull())
-    values = read.select("_entity", F.col("_q.value").alias("v"), F.col("_q.token").alias("t"))
-    return pair_scales(values, "_entity", "v", "t")
+    return pair_scales(sources(read, "_entity"), "_e", "_v", "_t")
 
 
 QUERIES = {"p2_found": p2_found, "p2_boxes": p2_boxes, "p5_found": p5_found, "p5_scales": p5_scales}

@@ -34,6 +34,16 @@ def test_scales_come_from_links(spark):
     assert {r.depth_scale_from for r in out.collect()} == {"linked"}
 
 
+def test_unknown_words_take_the_scale_of_their_links(spark):
+    said = [("{m} m", ""), ("{f} famnar", ""), ("", "She lies in {f} braccia of water."), ("{f}", "The depth is in orgyia.")]
+    rows = [(10 * i + k, c.format(m=10 + i, f=round((10 + i) / 1.8288, 2)), n.format(f=round((10 + i) / 1.8288, 2)), f"ship{i}") for i in range(12) for k, (c, n) in enumerate(said)]
+    alone = [(900, "10 famnar", "She lies in 7 m of water."), (901, "?", "She lies in 20 braccia of water."), (902, "5", "The depth is in orgyia."), (903, "10 qwert", ""), (904, "10 qwert", "She lies in 7 m of water."), (905, "4", "Depth in doubt.")]
+    df = spark.createDataFrame(rows + [(*r, None) for r in alone], "row_no long, depth_m string, note string, ship string")
+    got = {r.row_no: (round(r.depth_value_m * 10), r.depth_scale_from) for r in depths_in_metres(df, F.col("ship")).collect()}
+    assert [got.get(k) for k in range(900, 906)] == [(183, "linked"), (366, "linked"), (91, "linked"), None, (70, "linked"), (40, "defined")]
+    assert all(abs(got[10 * i + k][0] - 10 * (10 + i)) <= 1 for i in range(12) for k in range(4))
+
+
 def test_snap_and_spread():
     assert snap(math.log(1 / 0.3048) + 0.01) == pytest.approx(math.log(1 / 0.3048))
     assert snap(0.3) is None
