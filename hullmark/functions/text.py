@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _single(form: str, ascii_only: bool) -> tuple[str, str]:
@@ -39,8 +41,17 @@ def ascii_fold(text: Column) -> Column:
     return F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _TO_ASCII, _ASCII), r"[^\x00-\x7F]", "")
 
 
+def normal(text: Column, form: str) -> Column:
+    """The Unicode normal form, for which Spark has no expression. Not within lambdas. Null gives ''."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t if t.isascii() else unicodedata.normalize(form, t))
+
+    return F.pandas_udf(run, T.StringType())(F.coalesce(text, F.lit("")))
+
+
 def clean(text: Column) -> Column:
-    """Compatibility characters replaced, footnote marks and invisible signs out, blanks single."""
+    """Compatibility characters that stand for one character replaced (for all, pass ``normal``), footnote marks and invisible signs out, blanks single."""
     out = F.translate(F.coalesce(text, F.lit("")), _TO_COMPAT, _COMPAT)
     out = F.regexp_replace(out, r"\[(?:\d+|[a-z]|note \d+|citation needed|nb \d+)\]", "")
     out = F.translate(out, "﻿​", "")
@@ -62,7 +73,7 @@ def norm_name(text: Column) -> Column:
 
 def safe_name(text: Column) -> Column:
     """A text fit for a file name, 150 characters at most, ``image`` if nothing is left."""
-    out = F.regexp_replace(F.regexp_replace(ascii_fold(text), r"[^A-Za-z0-9._-]+", "_"), "^_+|_+$", "")
+    out = F.regexp_replace(F.regexp_replace(ascii_fold(normal(text, "NFKD")), r"[^A-Za-z0-9._-]+", "_"), "^_+|_+$", "")
     out = F.substring(out, 1, 150)
     return F.when(out == "", F.lit("image")).otherwise(out)
 

@@ -9,7 +9,7 @@ from hullmark.functions.dates import page_month, page_year, parse_date, year_key
 from hullmark.functions.depth import column_number, extract_depth, row_depth
 from hullmark.functions.ids import list_id
 from hullmark.functions.status import LOST, SAVED, classify
-from hullmark.functions.text import SHIP_PREFIXES, clean, derived_url, norm_listed, norm_name, safe_name, url_basename
+from hullmark.functions.text import SHIP_PREFIXES, clean, derived_url, norm_listed, norm_name, normal, safe_name, url_basename
 from hullmark.operators.merging import merge_listed
 from hullmark.session import table
 
@@ -49,6 +49,11 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(spark, sf_dir).where(plain).select("row_no", clean(F.col("name")).alias("cleaned"), safe_name(F.col("name")).alias("file_name"))
 
 
+def clean_text_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``clean_text`` of every row; its SQL states names of printable ASCII only, this has none."""
+    return _rows(spark, sf_dir).select("row_no", clean(normal(F.col("name"), "NFKC")).alias("cleaned"), safe_name(F.col("name")).alias("file_name"))
+
+
 def classify_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(spark, sf_dir).select("row_no", classify(F.col("note")).alias("status"))
 
@@ -127,7 +132,7 @@ def fetch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        list_ids, list_merge_by_id, list_sorted_export, norm_names, clean_text, classify_notes, status_histogram, coverage_counts, partial_dates, page_period, context_dates, depth_from_note, url_basenames, list_membership,
+        list_ids, list_merge_by_id, list_sorted_export, norm_names, clean_text, clean_text_all, classify_notes, status_histogram, coverage_counts, partial_dates, page_period, context_dates, depth_from_note, url_basenames, list_membership,
         state_latest, todo_items, state_backfill, fetch_summary,
     )
 }
