@@ -101,6 +101,20 @@ def html_list_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_rows(pages.select("title", html.alias("html"))).groupBy("name", "flag", "note", "source_lists").agg(F.count("*").alias("n"))
 
 
+def html_list_rows_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every list row with its flag, date and note written as tables of pages and read back; the SQL of ``html_list_rows`` states plain names only, this has none.
+
+    A cell that is null is written empty; rows whose name is blank or a header word are no ships to the parser.
+    """
+    cell = lambda c: F.concat(F.lit("<td>"), F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit("</td>"))
+    line = F.concat(F.lit("<tr>"), *[cell(F.col(c)) for c in ("name", "flag", "date_raw", "note")], F.lit("</tr>"))
+    title = F.substring_index(F.coalesce("source_lists", F.lit("")), " | ", 1)
+    # several pages a title, so that none grows with the table
+    pages = table(spark, sf_dir, "wikipedia_wrecks").groupBy(title.alias("title"), F.floor(F.col("row_no") / 500_000)).agg(F.array_join(F.collect_list(line), "").alias("body"))
+    html = F.concat(F.lit('<h2>Losses</h2><table class="wikitable"><tr><th>Ship</th><th>Country</th><th>Date</th><th>Description</th></tr>'), F.col("body"), F.lit("</table>"))
+    return list_rows(pages.select("title", html.alias("html"))).groupBy("name", "flag", "date_raw", "note", "source_lists").agg(F.count("*").alias("n"))
+
+
 def header_role_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The roles of the columns of some header rows."""
     cases = ["Ship|Country|Description", "Date|Ship name|Flag|Coordinates|Depth", "Vessel|Owner|Sunk|Fate|Location", "Name|Nationality|When lost|Remarks", "Wreck|Year|Cause|Notes"]
@@ -108,7 +122,7 @@ def header_role_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(out, T.StructType([T.StructField(n, T.StringType()) for n in ("headers", "header", "role")]))
 
 
-QUERIES = {f.__name__: f for f in (source_catalogue, hydro_normalized, page_link_pairs, crawl_bfs, html_list_rows, header_role_table)}
+QUERIES = {f.__name__: f for f in (source_catalogue, hydro_normalized, page_link_pairs, crawl_bfs, html_list_rows, html_list_rows_all, header_role_table)}
 
 _CODES = sorted(COUNTRIES)
 _PAGES = "p AS (SELECT page_id, title FROM list_pages), k AS (SELECT a.page_id, a.title, b.title AS target, b.page_id AS kid FROM p a JOIN p b ON b.page_id // 2 = a.page_id WHERE regexp_matches(b.title, '(?i)^Lists? of shipwrecks'))"

@@ -2,8 +2,9 @@
 
 import re
 import unicodedata
+from collections import Counter
 
-from hullmark.plans import lists
+from hullmark.plans import lists, services
 
 NAMES = [
     "LANKOAKS\u200bSES", "S.M.S. Nearposgisbën", "\ufeffＦＵＬＬ\u3000width", "e\u0301toile du \u00a0 Nord[note 2]", "ﬁne № 5…", "24½ fathoms", "Ångström & Ærø [3]", "Straße/“Quoted”", "Лев", "Tiếng Việt", "plain  name", "", " ", None, "x" * 200, "__a__",
@@ -30,3 +31,20 @@ def test_clean_text_of_all_names(spark, tmp_path):
     at = rows_at(spark, tmp_path, list(enumerate(NAMES)), "row_no long, name string")
     got = {r.row_no: (r.cleaned, r.file_name) for r in lists.QUERIES["clean_text_all"](spark, at).collect()}
     assert got == {i: (cleaned(n), file_name(n)) for i, n in enumerate(NAMES)}
+
+
+def test_html_rows_of_all_names(spark, tmp_path):
+    page = "List of shipwrecks in May 1900"
+    rows = [
+        (1, "Étoile <du> Nord", "France", "3 May", "Ran aground & sank.[1]", page), (2, '"Rose" (1890)/[2]', None, None, "She hit a mine;\n all <b>saved</b>.", f"{page} | other"), (3, "A&amp;B", "(Norway)", "4 May", None, page),
+        (4, "K\u200bata", "UK", "5 May", "Sank.", page), (5, "Plain", "UK", "5 May", "Sank.", page), (2005, "Plain", "UK", "5 May", "Sank.", page), (6, "Ship", "UK", "5 May", "x", page), (7, "  ", "UK", "5 May", "x", page), (8, None, "UK", "5 May", "x", page),
+        (9, "No list", "Åland", "6 May 1901", "Ｌost", ""), (10, "Nor  here", "Åland", "6 May 1901", "Lost", None),
+    ]
+    at = rows_at(spark, tmp_path, rows, "row_no long, name string, flag string, date_raw string, note string, source_lists string")
+    plain = lambda t: " ".join((t or "").split())
+    want = Counter(
+        (plain(name), plain(flag).strip("() "), plain(date) or ("1900-05" if lists_ else ""), cleaned(note), (lists_ or "").split(" | ")[0])
+        for _, name, flag, date, note, lists_ in rows
+        if plain(name) and plain(name).lower() not in ("ship", "name", "vessel")
+    )
+    assert {tuple(r)[:5]: r.n for r in services.QUERIES["html_list_rows_all"](spark, at).collect()} == want
