@@ -83,14 +83,23 @@ def page_link_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_links(_page_frame(spark, sf_dir))
 
 
-def crawl_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _crawled(spark: SparkSession, sf_dir: str, first: int) -> DataFrame:
     pages = _page_frame(spark, sf_dir)
-    root = pages.where("page_id = 2").first()
+    root = pages.where(F.col("page_id") == first).first()
     if root is None:
         return pages.select("title").where("false")
     return crawl(root["title"], lambda titles: pages.join(F.broadcast(titles) if titles.count() < 10_000 else titles, "title").select("title", "html"), spark).select("title")
 
 
+def crawl_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _crawled(spark, sf_dir, 2)
+
+
+def crawl_bfs_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crawl from page 0, which leads to all list pages; the SQL of ``crawl_bfs`` starts at page 2, this has none."""
+    return _crawled(spark, sf_dir, 0)
+
+
 def html_list_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List rows written as tables of pages, one per title, and read back."""
     rows = table(spark, sf_dir, "wikipedia_wrecks").where(F.col("name").rlike("^[A-Za-z][A-Za-z0-9 .-]*[A-Za-z0-9]$") & ~F.lower("name").isin("ship", "name", "vessel") & F.col("flag").rlike("^[A-Za-z][A-Za-z .]*[A-Za-z]$") & ~F.col("flag").contains("  ") & ~F.col("name").contains("  "))
@@ -122,7 +131,7 @@ def header_role_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(out, T.StructType([T.StructField(n, T.StringType()) for n in ("headers", "header", "role")]))
 
 
-QUERIES = {f.__name__: f for f in (source_catalogue, hydro_normalized, page_link_pairs, crawl_bfs, html_list_rows, html_list_rows_all, header_role_table)}
+QUERIES = {f.__name__: f for f in (source_catalogue, hydro_normalized, page_link_pairs, crawl_bfs, crawl_bfs_all, html_list_rows, html_list_rows_all, header_role_table)}
 
 _CODES = sorted(COUNTRIES)
 _PAGES = "p AS (SELECT page_id, title FROM list_pages), k AS (SELECT a.page_id, a.title, b.title AS target, b.page_id AS kid FROM p a JOIN p b ON b.page_id // 2 = a.page_id WHERE regexp_matches(b.title, '(?i)^Lists? of shipwrecks'))"

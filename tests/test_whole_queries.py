@@ -4,7 +4,10 @@ import re
 import unicodedata
 from collections import Counter
 
+import pytest
+
 from hullmark.plans import lists, services
+from hullmark.sources.pages import crawl
 
 NAMES = [
     "LANKOAKS\u200bSES", "S.M.S. Nearposgisbën", "\ufeffＦＵＬＬ\u3000width", "e\u0301toile du \u00a0 Nord[note 2]", "ﬁne № 5…", "24½ fathoms", "Ångström & Ærø [3]", "Straße/“Quoted”", "Лев", "Tiếng Việt", "plain  name", "", " ", None, "x" * 200, "__a__",
@@ -48,3 +51,13 @@ def test_html_rows_of_all_names(spark, tmp_path):
         if plain(name) and plain(name).lower() not in ("ship", "name", "vessel")
     )
     assert {tuple(r)[:5]: r.n for r in services.QUERIES["html_list_rows_all"](spark, at).collect()} == want
+
+
+def test_crawl_from_page_0(spark, tmp_path):
+    pages = [(i, f"List of shipwrecks in {1800 + i}") for i in range(20)]
+    spark.createDataFrame(pages, "page_id long, title string").write.parquet(str(tmp_path / "list_pages.parquet"))
+    got = [r.title for r in services.QUERIES["crawl_bfs_all"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == [t for _, t in pages]
+    df = services._page_frame(spark, str(tmp_path)).select("title", "html")
+    with pytest.raises(RuntimeError):
+        crawl(pages[0][1], lambda t: df.join(t, "title"), spark, max_rounds=2)
