@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -34,10 +35,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (as in tests) a local one is made and set.
+    Where the session names none, a local master (as in tests) gets a folder of its own; on
+    a cluster that is an error, as each executor would write to its own disk.
     """
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not place:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         place = "file://" + tempfile.mkdtemp(prefix="hullmark-")
         spark.conf.set("spark.checkpoint.dir", place)
     return place.rstrip("/")
@@ -58,4 +62,14 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/hullmark-{os.getpid()}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._settled_at = path
+    return back
+
+
+def release(*settled: DataFrame | None) -> None:
+    """Remove tables that ``settle`` wrote, once nothing that is still to be computed reads them."""
+    for df in settled:
+        path = getattr(df, "_settled_at", None)
+        if path:
+            _remove(df.sparkSession, path)
