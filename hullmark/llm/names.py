@@ -58,9 +58,11 @@ _WRECK_OF = re.compile(r"^(?:(?:the )?(?:wreck|wk|rems?|remains|wreckage|hulk)\.
 _AFTER = re.compile(r"[\s,]+(?:\(?(?:pa|pd|ed|rep|wk|wreck|sub|pos approx)\)?)\.?$")
 
 
-_INSIDE, _BRACKETS, _NO_LETTERS, _WORD = re.compile(r"\(([^)]*)\)"), re.compile(r"\([^)]*\)?"), re.compile("[^a-z]+"), re.compile(r"[a-z]+|\d+")
+_INSIDE, _BRACKETS, _NO_LETTERS, _WORD = re.compile(r"\(([^)]*)\)"), re.compile(r"\([^)]*\)?"), re.compile(r"[\W\d_]+"), re.compile(r"[^\W\d_]+|\d+")
 _NUMBER = re.compile(r"[\s,-]*(?:\bno\.? ?|#|-|\bnr\.? ?|\bnumber )?\b(\d{1,4})$")
 _END, _AND, _INITIAL = re.compile(r"[\s,#-]+$|\s+no\.?$"), re.compile(r"\s*(?:&|\+)\s*| and "), re.compile(r"[a-z]\. ")
+# a letter or a few and a number: the name of many a submarine or boat of a class
+_DESIGNATION = re.compile(r"([^\W\d_]{1,3})[ -]?(\d{1,4})")
 _TAILS = ("pa", "pd", "ed", "rep", "wk", "wreck", "sub", "approx")
 _NAMELESS_FIRST = {w.split(" ")[0] for w in NAMELESS} | {""}
 
@@ -91,7 +93,7 @@ def _given(word: str, dotted: bool, rest: bool, mount: bool) -> str:
         return _SHORT_TITLE[word]
     if word in _NICK:
         return _NICK[word]
-    if len(word) == 1:
+    if len(word) == 1 and ord(word) < 0x2E80:  # a single sign of an ideographic script is no initial
         return word
     if dotted and len(word) >= 3:
         return word + "."
@@ -197,7 +199,10 @@ def parse(raw: str | None) -> Name | None:
         prefix = prefix or p
     number = 0
     m = _NUMBER.search(t) if t[-1:].isdigit() else None
-    if m and m.start() > 0:
+    plain = _DESIGNATION.fullmatch(t) if t[-1:].isdigit() else None
+    if plain:
+        t, number = plain[1], int(plain[2])
+    elif m and m.start() > 0:
         number, t = int(m.group(1)), t[: m.start()]
     else:
         head, _, last = t.rpartition(" ")
@@ -213,7 +218,7 @@ def parse(raw: str | None) -> Name | None:
         words = _WORD.findall(t.replace("'", ""))
     stem = "".join(words)
     plain = " ".join(words)
-    if plain in NAMELESS or plain in NO_SHIP or len(stem) < 3 or stem.isdigit():
+    if plain in NAMELESS or plain in NO_SHIP or not stem or stem.isdigit() or (len(stem) == 1 and not number):
         return None
     return Name(stem, given, number, prefix, year, tuple(words))
 

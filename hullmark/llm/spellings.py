@@ -18,55 +18,116 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hullmark.llm.names import country, parse
-from hullmark.session import settle
+from hullmark.session import release, settle
 
 RADIUS = 3
 
 
-def codes_of(words: list[str], width: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """Letters as small numbers, one row per word, and the lengths; longer words end at ``width``."""
-    raw = [w.encode("ascii", "replace")[:width] for w in words]
-    lengths = np.fromiter(map(len, raw), np.int64, len(raw))
-    table = np.zeros((len(raw), max(1, int(lengths.max(initial=1)))), np.uint8)
-    for i, r in enumerate(raw):
-        table[i, : len(r)] = np.frombuffer(r, np.uint8)
-    return table, lengths
-
-
-def edit_distances(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray) -> np.ndarray:
-    """Levenshtein distances of row i of ``a`` and row i of ``b``, all at once."""
-    n, wa, wb = len(la), int(la.max(initial=0)), int(lb.max(initial=0))
-    out = np.where(la == 0, lb, 0)
-    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
-    row = np.repeat(np.arange(wb + 1, dtype=np.int16)[:, None], n, 1)
-    for i in range(wa):
-        new = np.empty_like(row)
-        new[0] = i + 1
-        for j in range(wb):
-            np.minimum(row[j + 1] + 1, row[j] + (a[i] != b[j]), out=new[j + 1])
-            np.minimum(new[j + 1], new[j] + 1, out=new[j + 1])
-        row = new
-        ends = np.flatnonzero(la == i + 1)
-        out[ends] = row[lb[ends], ends]
+def letters_of(words: list[str]) -> np.ndarray:
+    """Letters as numbers, one row per word; shorter words end in zeros."""
+    plain = all(map(str.isascii, words))
+    raw = [w.encode("ascii" if plain else "utf-32-le") for w in words]
+    kind = np.dtype(np.uint8 if plain else "<u4")
+    lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // kind.itemsize
+    table = np.zeros((len(raw), max(1, int(lengths.max(initial=1)))), kind)
+    table[np.arange(table.shape[1]) < lengths[:, None]] = np.frombuffer(b"".join(raw), kind)
+    return table
+
+
+def edit_distances(a: list[str], b: list[str]) -> np.ndarray:
+    """Levenshtein distances of a[i] and b[i], pairs of like lengths together."""
+    la, lb = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+    out, order, at = np.zeros(len(a), np.int64), np.lexsort((la, lb)), 0
+    while at < len(order):
+        # fewer pairs at once where names are long, so that memory stays bounded
+        longest = int(max(la[order[at : at + 16_384]].max(), lb[order[at : at + 16_384]].max(), 1))
+        part = order[at : at + max(1, min(16_384, (1 << 22) // longest))]
+        at += len(part)
+        x, y = (np.ascontiguousarray(letters_of([w[i] for i in part]).T) for w in (a, b))
+        n, m = la[part], lb[part]
+        kind = np.uint8 if max(len(x), len(y)) < 255 else np.int32
+        row = np.repeat(np.arange(len(y) + 1, dtype=kind)[:, None], len(part), 1)
+        new, step, differ = np.empty_like(row), np.empty(len(part), kind), np.empty(len(part), bool)
+        got = np.where(n == 0, m, 0)
+        for i in range(len(x)):
+            new[0] = i + 1
+            for j in range(len(y)):
+                np.add(np.minimum(row[j + 1], new[j], out=step), kind(1), out=step)
+                np.add(row[j], np.not_equal(x[i], y[j], out=differ), out=new[j + 1])
+                np.minimum(new[j + 1], step, out=new[j + 1])
+            row, new = new, row
+            ends = np.flatnonzero(n == i + 1)
+            got[ends] = row[m[ends], ends]
+        out[part] = got
     return out
 
 
-def _signatures(table: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _banded(x: np.ndarray, n: np.ndarray, y: np.ndarray, m: np.ndarray, most: int) -> np.ndarray:
+    """Levenshtein distances of columns of letters with lengths n and m that differ by ``most`` at most; only the diagonals within ``most`` are filled."""
+    far = np.uint8(most + 1)
+    y = np.pad(y, ((0, most + 1), (0, 0)))
+    row = np.full((2 * most + 3, len(n)), far, np.uint8)  # diagonal o lies at o + most + 1, with a border on either side
+    for o in range(most + 1):
+        row[o + most + 1] = o
+    got = np.where(n == 0, m, most + 1)
+    one, differ = np.uint8(1), np.empty(len(n), bool)
+    new, step = np.full_like(row, far), np.empty(len(n), np.uint8)
+    for i in range(1, int(n.max(initial=0)) + 1):
+        for o in range(max(-most, -i), most + 1):
+            k = o + most + 1
+            if i + o == 0:
+                new[k] = min(i, most + 1)
+            elif i + o <= len(y):
+                np.not_equal(x[i - 1], y[i + o - 1], out=differ)
+                np.add(row[k], differ, out=new[k])
+                np.add(np.minimum(row[k + 1], new[k - 1], out=step), one, out=step)
+                np.minimum(new[k], step, out=new[k])
+            else:
+                new[k] = far
+        np.minimum(new, far, out=new)
+        row, new = new, row
+        ends = np.flatnonzero(n == i)
+        got[ends] = row[m[ends] - i + most + 1, ends]
+    return got
+
+
+def near_distances(words: list[str], i: np.ndarray, j: np.ndarray, most: int) -> np.ndarray:
+    """Levenshtein distances of words i and j; anything above ``most`` is told as ``most + 1``. Long words are measured apart from short ones."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    n, m = lengths[i], lengths[j]
+    out = np.full(len(i), most + 1, np.int64)
+    sizes = np.where(np.abs(n - m) <= most, np.ceil(np.log2(np.maximum(np.maximum(n, m), 16))), 0)
+    for size in np.unique(sizes[sizes > 0]):
+        fit = np.flatnonzero(sizes == size)
+        used, where = np.unique(np.concatenate((i[fit], j[fit])), return_inverse=True)
+        table = letters_of([words[k] for k in used])
+        for at in range(0, len(fit), 16_384):
+            part = fit[at : at + 16_384]
+            x, y = (np.ascontiguousarray(table[where[s + at : s + at + len(part)]].T) for s in (0, len(fit)))
+            out[part] = _banded(x, n[part], y, m[part], most)
+    return out
+
+
+def _signatures(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit marks per word: which letters it has once and twice, and which letter pairs."""
-    n, width = table.shape
-    letter = (table.astype(np.int64) - 97) % 32
-    one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    one, two = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
     unit, half = np.uint64(1), np.uint64(32)
-    for k in range(width):
-        bit = np.where(k < lengths, unit << letter[:, k].astype(np.uint64), np.uint64(0))
-        one |= np.where(one & bit > 0, bit << half, bit)
-        if k:
-            spot = ((table[:, k - 1].astype(np.int64) * 31 + table[:, k].astype(np.int64) * 7) % 64).astype(np.uint64)
-            two |= np.where(k < lengths, unit << spot, np.uint64(0))
+    sizes = np.ceil(np.log2(np.maximum(lengths, 16)))
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        table = np.ascontiguousarray(letters_of([words[i] for i in at]).T).astype(np.int64)
+        long, o, t = lengths[at], one[at], two[at]
+        for k in range(len(table)):
+            bit = np.where(k < long, unit << ((table[k] - 97) % 32).astype(np.uint64), np.uint64(0))
+            o |= np.where(o & bit > 0, bit << half, bit)
+            if k:
+                t |= np.where(k < long, unit << ((table[k - 1] * 31 + table[k] * 7) % 64).astype(np.uint64), np.uint64(0))
+        one[at], two[at] = o, t
     return one, two
 
 
@@ -76,91 +137,143 @@ def allowed(shorter: np.ndarray) -> np.ndarray:
 
 
 def near_stems(words: list[str], asks: np.ndarray, to_pivot: np.ndarray, radius: int = RADIUS, member: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Index pairs (asking word, member, distance) within the radius; all words are members if not told otherwise."""
-    table, lengths = codes_of(words)
-    one, two = _signatures(table, lengths)
+    """Index pairs (asking word, member, distance) within the radius; all words are members if not told otherwise.
+
+    Where every word asks and is a member, each pair comes once. Marks are compared tile by
+    tile, in memory that is used again.
+    """
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    one, two = _signatures(words)
     order = np.argsort(to_pivot, kind="stable")
+    whole = member is None and bool(asks.all())
     homes = order[asks[order]]
     order = order if member is None else order[member[order]]
-    sorted_p, one_s, two_s, len_s = to_pivot[order], one[order], two[order], lengths[order]
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for at in range(0, len(homes), 128):
-        part = homes[at : at + 128]
-        low = np.searchsorted(sorted_p, to_pivot[part].min() - radius, "left")
-        high = np.searchsorted(sorted_p, to_pivot[part].max() + radius, "right")
-        i, j = np.nonzero(np.bitwise_count(one[part][:, None] ^ one_s[None, low:high]) <= 2 * radius)
-        j += low
-        keep = (np.bitwise_count(two[part][i] ^ two_s[j]) <= 4 * radius) & (np.abs(lengths[part][i] - len_s[j]) <= radius)
-        i, j = part[i[keep]], order[j[keep]]
-        other = i != j if member is None else np.array([words[x] != words[y] for x, y in zip(i.tolist(), j.tolist(), strict=True)], bool)
-        i, j = i[other], j[other]
-        if len(i):
-            d = edit_distances(table[i], lengths[i], table[j], lengths[j])
-            ok = d <= np.minimum(allowed(np.minimum(lengths[i], lengths[j])), radius)
-            found.append((i[ok], j[ok], d[ok]))
-    if not found:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
-
+    sorted_p, one_s, two_s, len_s, one_h = to_pivot[order], one[order], two[order], lengths[order], one[homes]
+    high_of, wide = 64, 4096
+    marks, bits, near = np.empty(high_of * wide, np.uint64), np.empty(high_of * wide, np.uint8), np.empty(high_of * wide, bool)
+    left, right = [], []
+    for at in range(0, len(homes), high_of):
+        part = homes[at : at + high_of]
+        low = at if whole else int(np.searchsorted(sorted_p, to_pivot[part[0]] - radius, "left"))
+        high = int(np.searchsorted(sorted_p, to_pivot[part[-1]] + radius, "right"))
+        for start in range(low, high, wide):
+            w = min(wide, high - start)
+            shape, n = (len(part), w), len(part) * w
+            m, b, c = marks[:n].reshape(shape), bits[:n].reshape(shape), near[:n].reshape(shape)
+            np.bitwise_xor(one_h[at : at + high_of, None], one_s[None, start : start + w], out=m)
+            np.bitwise_count(m, out=b)
+            np.less_equal(b, 2 * radius, out=c)
+            at_bits = np.flatnonzero(near[:n])
+            i, j = at_bits // w, at_bits % w
+            j += start
+            if whole:
+                later = j > i + at
+                i, j = i[later], j[later]
+            i = part[i]
+            keep = (np.bitwise_count(two[i] ^ two_s[j]) <= 4 * radius) & (np.abs(lengths[i] - len_s[j]) <= radius)
+            left.append(i[keep])
+            right.append(order[j[keep]])
+    none = np.zeros(0, np.int64)
+    i, j = np.concatenate(left or [none]), np.concatenate(right or [none])
+    other = i != j
+    i, j = i[other], j[other]
+    d = near_distances(words, i, j, radius)
+    ok = (d <= np.minimum(allowed(np.minimum(lengths[i], lengths[j])), radius)) & (d > 0)
+    return i[ok], j[ok], d[ok]
 
 def _place(pivots: dict[int, list[str]], radius: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            many = pdf["year"].isin([y for y, p in pivots.items() if len(p) > 1])
-            # years of one cell: its pivot is the empty name
-            out = [pdf[~many].assign(cell=0, held=True, to_pivot=pdf.loc[~many, "stem"].str.len())]
-            out[0] = out[0][["year", "cell", "stem", "asks", "held", "to_pivot"]]
-            for year, g in pdf[many].groupby("year", sort=False):
-                stems, own, asks = g["stem"].tolist(), pivots[int(year)], g["asks"].to_numpy(bool)
-                table, lengths = codes_of(stems)
-                ptable, plengths = codes_of(own)
-                d = np.column_stack([
-                    edit_distances(table, lengths, np.broadcast_to(ptable[k], (len(stems), ptable.shape[1])), np.full(len(stems), plengths[k])) for k in range(len(own))
-                ])
+            groups = [(pivots[int(year)], g) for year, g in pdf.groupby("year", sort=False)]
+            left = [w for own, g in groups for w in g["stem"] for _ in own]
+            right = [p for own, g in groups for _ in range(len(g)) for p in own]
+            d_all, at, out = edit_distances(left, right), 0, []
+            for own, g in groups:
+                stems, asks = g["stem"].tolist(), g["asks"].to_numpy(bool)
+                d = d_all[at : at + len(g) * len(own)].reshape(len(g), len(own))
+                at += d.size
                 best = d.argmin(1)
-                # a stem that asks goes to every cell that may hold a near one, others to their own
-                i, c = np.nonzero(d <= np.where(asks, d.min(1) + 2 * radius, -1)[:, None])
+                # a stem that asks goes to every cell that may hold a near one, others to their own; the fewer
+                # edits its length allows, the fewer cells these are
+                reach = 2 * np.minimum(allowed(np.fromiter(map(len, stems), np.int64, len(stems))), radius)
+                i, c = np.nonzero(d <= np.where(asks, d.min(1) + reach, -1)[:, None])
                 rest = np.flatnonzero(~asks)
                 i, c = np.concatenate((i, rest)), np.concatenate((c, best[rest]))
-                out.append(pd.DataFrame({"year": year, "cell": c, "stem": np.array(stems, object)[i], "asks": asks[i], "held": best[i] == c, "to_pivot": d[i, c]}))
-            if len(pdf):
-                yield pd.concat([x for x in out if len(x)], ignore_index=True).astype({"year": "int32", "cell": "int32", "to_pivot": "int32"})
+                out.append(pd.DataFrame({"year": g["year"].iloc[0], "cell": c, "stem": np.array(stems, object)[i], "asks": asks[i], "held": best[i] == c, "to_pivot": d[i, c]}))
+            if out:
+                yield pd.concat(out, ignore_index=True).astype({"year": "int32", "cell": "int32", "to_pivot": "int32"})
 
     return run
 
 
-def _join_cell(radius: int):
+def _join_cell(radius: int, once: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        words = pdf["stem"].tolist()
-        i, j, d = near_stems(words, pdf["asks"].to_numpy(bool), pdf["to_pivot"].to_numpy(np.int64), radius, pdf["held"].to_numpy(bool))
+        words, asks, held = pdf["stem"].tolist(), pdf["asks"].to_numpy(bool), pdf["held"].to_numpy(bool)
+        i, j, d = near_stems(words, asks, pdf["to_pivot"].to_numpy(np.int64), radius, None if once and held.all() else held)
         w = np.array(words, object)
-        return pd.DataFrame({"year": pdf["year"].iloc[0], "a": w[i], "b": w[j], "d": d}).astype({"year": "int32", "d": "int32"})
+        a, b = w[i], w[j]
+        if once and held.all() and asks.all():
+            a, b = np.where(a < b, a, b), np.where(a < b, b, a)
+        elif once:
+            keep = (a < b) | ~pdf["also"].to_numpy(bool)[j]  # members that ask themselves find the pair from their side
+            a, b, d = a[keep], b[keep], d[keep]
+        return pd.DataFrame({"year": pdf["year"].iloc[0], "a": a, "b": b, "d": d}).astype({"year": "int32", "d": "int32"})
 
     return run
 
 
-def stem_links(stems: DataFrame, radius: int = RADIUS, per_pivot: int = 8000, max_pivots: int = 4096) -> DataFrame:
+_CELLS = "year int, cell int, stem string, asks boolean, held boolean, to_pivot int"
+
+
+def _blocks(placed: DataFrame, most: int) -> DataFrame:
+    """``placed`` with the blocks ``i, j`` of asking stems and of members, so that no task compares more than ``most`` of either.
+
+    Cells within ``most`` are one block. The few beyond are cut by hash: an asking stem goes
+    to each block of members, a member to each block of asking stems.
+    """
+    placed = settle(placed.withColumn("also", F.col("asks")))
+    full = placed.groupBy("year", "cell").agg(F.count_if("asks").alias("na"), F.count_if("held").alias("nh")).where((F.col("na") > most) | (F.col("nh") > most))
+    cut = lambda n: F.greatest(F.lit(1), F.ceil(F.coalesce(n, F.lit(0)) / most)).cast("int")
+    at = placed.join(full, ["year", "cell"], "left").withColumn("na", cut(F.col("na"))).withColumn("nh", cut(F.col("nh")))
+    own = lambda n: F.pmod(F.xxhash64("stem"), n).cast("int")
+    each = lambda n: F.sequence(F.lit(0), n - 1)
+    whole = (F.col("na") == 1) & (F.col("nh") == 1)
+    single = at.where(whole).select(*placed.columns, F.lit(0).alias("i"), F.lit(0).alias("j"))
+    ask = at.where(~whole & F.col("asks")).select(*placed.columns, own(F.col("na")).alias("i"), F.explode(each(F.col("nh"))).alias("j")).withColumn("held", F.lit(False))
+    held = at.where(~whole & F.col("held")).select(*placed.columns, F.explode(each(F.col("na"))).alias("i"), own(F.col("nh")).alias("j"))
+    return single.unionByName(ask).unionByName(held.withColumn("asks", F.lit(False)))
+
+
+def stem_links(stems: DataFrame, radius: int = RADIUS, per_pivot: int = 2000, max_pivots: int = 4096, most: int = 16_384, once: bool = False) -> DataFrame:
     """``year, a, b, d`` of all different stems of one year within the radius.
 
     ``stems`` has distinct ``year int, stem string, asks boolean``; each stem that asks meets all
-    others, so a pair of asking stems comes both ways round. Any number that sets groups
-    infinitely apart can take the place of the year. The driver holds one count per group and
-    ``max_pivots`` pivots at most.
+    others, so a pair of asking stems comes both ways round, or with ``once`` as a < b only. Any
+    number that sets groups infinitely apart can take the place of the year. Groups of more
+    than ``per_pivot`` stems have a pivot for each so many, and cells of more than ``most`` are
+    joined in blocks. The driver holds ``max_pivots`` counts and twice as many pivots at most,
+    for which ``per_pivot`` grows where there are more than so many times as many stems.
     """
-    stems = settle(stems.select("year", "stem", "asks"))
-    counts = {r["year"]: r["n"] for r in stems.groupBy("year").agg(F.count("*").alias("n")).collect()}
-    wanted = {y: -(-n // per_pivot) for y, n in counts.items() if n > per_pivot}
-    scale = max(1.0, sum(wanted.values()) / max_pivots)
-    wanted = {y: max(2, int(m / scale)) for y, m in wanted.items()}
+    if not hasattr(stems, "_settled_at"):
+        stems = settle(stems.select("year", "stem", "asks"))
+    full = max(per_pivot, -(-stems.count() // max_pivots))
+    counts = {int(r["year"]): r["n"] for r in stems.groupBy("year").agg(F.count("*").alias("n")).where(F.col("n") > full).collect()}
     pivots: dict[int, list[str]] = {}
-    if wanted:
-        share = F.try_element_at(F.create_map(*[F.lit(x) for y, m in wanted.items() for x in (int(y), float(m) / counts[y])]), F.col("year"))
+    if counts:
+        share = F.try_element_at(F.create_map(*[F.lit(x) for y, n in counts.items() for x in (y, min(1.0, 3.0 / full))]), F.col("year"))
         spot = F.pmod(F.xxhash64("year", "stem"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        for r in stems.where(spot < share).orderBy("year", "stem").limit(2 * max_pivots).collect():
-            pivots.setdefault(r["year"], []).append(r["stem"])
-    placed = stems.select("year", "stem", "asks").mapInPandas(_place(pivots, radius), "year int, cell int, stem string, asks boolean, held boolean, to_pivot int")
-    return placed.groupBy("year", "cell").applyInPandas(_join_cell(radius), "year int, a string, b string, d int")
+        drawn = stems.where(spot < share).select("year", "stem", F.row_number().over(Window.partitionBy("year").orderBy(spot, "stem")).alias("n"))
+        for r in drawn.orderBy("year", "n").limit(4 * max_pivots).collect():
+            if r["n"] <= -(-counts[r["year"]] // full):
+                pivots.setdefault(int(r["year"]), []).append(r["stem"])
+    many = F.col("year").isin(list(pivots)) if pivots else F.lit(False)
+    # the pivot of a group of one cell is the empty name
+    placed = stems.where(~many).select("year", F.lit(0).alias("cell"), "stem", "asks", F.lit(True).alias("held"), F.length("stem").alias("to_pivot"), F.col("asks").alias("also"))
+    out = placed.groupBy("year").applyInPandas(_join_cell(radius, once), "year int, a string, b string, d int")
+    if pivots:
+        cells = _blocks(stems.where(many).mapInPandas(_place(pivots, radius), _CELLS), most)
+        out = out.unionByName(cells.groupBy("year", "cell", "i", "j").applyInPandas(_join_cell(radius, once), "year int, a string, b string, d int"))
+    return out
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,10 +354,10 @@ def ship_links(rows: DataFrame, near_km: float = 60.0) -> DataFrame:
 def links_of_read(read: DataFrame, near_km: float = 60.0) -> DataFrame:
     """``ship_links`` of rows that ``read_rows`` gave; they are read several times, so they should be settled."""
     dated = read.where("year > 0")
-    known = settle(dated.groupBy("year", "stem").count())
-    near = stem_links(known.withColumn("asks", F.lit(True)))
+    known = settle(dated.groupBy("year", "stem").count().withColumn("asks", F.lit(True)))
+    near = stem_links(known, once=True)
     same = known.where("count > 1").select("year", F.col("stem").alias("a"), F.col("stem").alias("b"), F.lit(0).alias("d"))
-    pairs = near.where("a < b").unionByName(same)
+    pairs = near.unionByName(same)
     a, b = dated.alias("a"), dated.alias("b")
     day = F.startswith(F.col("a.date"), F.col("b.date")) | F.startswith(F.col("b.date"), F.col("a.date"))
     gap = position_gap("a", "b")
@@ -264,10 +377,10 @@ def links_of_read(read: DataFrame, near_km: float = 60.0) -> DataFrame:
     own = undated.where("country <> ''").select("*", F.explode(F.array("country", F.lit("?"))).alias("_g"))
     every = undated.where("country = ''").join(read.select("number", held.alias("_g")).distinct(), "number").select(*read.columns, "_g")
     loose = own.unionByName(every).select(*read.columns, group("_g"))
-    asking = loose.select(F.col("_group").alias("year"), "stem").distinct().withColumn("asks", F.lit(True))
+    asking = settle(loose.select(F.col("_group").alias("year"), "stem").distinct().withColumn("asks", F.lit(True)))
     members = all_rows.select(F.col("_group").alias("year"), "stem", F.lit(False).alias("asks"))
     stems = asking.unionByName(members).groupBy("year", "stem").agg(F.bool_or("asks").alias("asks"))
-    fuzzy = stem_links(stems).select(F.col("year").alias("_group"), "a", "b", "d")
+    fuzzy = stem_links(stems, per_pivot=16_384).select(F.col("year").alias("_group"), "a", "b", "d")
     exact = asking.select(F.col("year").alias("_group"), F.col("stem").alias("a"), F.col("stem").alias("b"), F.lit(0).alias("d"))
     u, v, p = loose.alias("a"), all_rows.alias("b"), fuzzy.unionByName(exact).alias("p")
     near_enough = gap <= near_km
@@ -277,12 +390,14 @@ def links_of_read(read: DataFrame, near_km: float = 60.0) -> DataFrame:
         F.max("b.year").alias("yy"), F.bool_or(gap.isNotNull()).alias("placed"), F.min("p.d").alias("d"), F.bool_or(F.col("a.name") != F.col("b.name")).alias("differ")
     )
     met = settle(met)
+    release(undated, asking)
     # where rows of several years fit, those at the same place win; else none is certain
     years = met.where("yy > 0").groupBy("x").agg(F.countDistinct("yy").alias("n"), F.countDistinct(F.when(F.col("placed"), F.col("yy"))).alias("np"))
     sole = met.join(years, "x", "left").where(F.col("placed") | (F.coalesce("n", F.lit(0)) <= 1))
     sure = F.when(F.col("placed"), 0.8).otherwise(0.6) - 0.1 * F.col("d")
     without = sole.select(F.least("x", "y").alias("row_a"), F.greatest("x", "y").alias("row_b"), sure.alias("confidence"), "differ")
-    return with_year.unionByName(without).groupBy("row_a", "row_b").agg(F.max("confidence").alias("confidence"), F.bool_or("differ").alias("differ"))
+    # two rows without a year may have found each other; no other pair comes twice
+    return with_year.unionByName(without.groupBy("row_a", "row_b").agg(F.max("confidence").alias("confidence"), F.bool_or("differ").alias("differ")))
 
 
 def variant_links(rows: DataFrame) -> DataFrame:
