@@ -136,6 +136,14 @@ def allowed(shorter: np.ndarray) -> np.ndarray:
     return np.where(shorter >= 9, 3, np.where(shorter >= 6, 2, np.where(shorter >= 4, 1, 0)))
 
 
+def _hits(flags: np.ndarray) -> np.ndarray:
+    """Where ``flags`` are set; eight at a time first, as few are."""
+    whole = len(flags) & ~7
+    eights = np.flatnonzero(flags[:whole].view(np.uint64))
+    a, b = np.nonzero(flags[:whole].reshape(-1, 8)[eights])
+    return np.concatenate((eights[a] * 8 + b, whole + np.flatnonzero(flags[whole:])))
+
+
 def near_stems(words: list[str], asks: np.ndarray, to_pivot: np.ndarray, radius: int = RADIUS, member: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Index pairs (asking word, member, distance) within the radius; all words are members if not told otherwise.
 
@@ -163,8 +171,7 @@ def near_stems(words: list[str], asks: np.ndarray, to_pivot: np.ndarray, radius:
             np.bitwise_xor(one_h[at : at + high_of, None], one_s[None, start : start + w], out=m)
             np.bitwise_count(m, out=b)
             np.less_equal(b, 2 * radius, out=c)
-            at_bits = np.flatnonzero(near[:n])
-            i, j = at_bits // w, at_bits % w
+            i, j = np.divmod(_hits(near[:n]), w)
             j += start
             if whole:
                 later = j > i + at
@@ -207,17 +214,23 @@ def _place(pivots: dict[int, list[str]], radius: int):
 
 
 def _join_cell(radius: int, once: bool):
+    """The join of one cell, or of several years of one cell each."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         words, asks, held = pdf["stem"].tolist(), pdf["asks"].to_numpy(bool), pdf["held"].to_numpy(bool)
-        i, j, d = near_stems(words, asks, pdf["to_pivot"].to_numpy(np.int64), radius, None if once and held.all() else held)
+        to_pivot, (group, _) = pdf["to_pivot"].to_numpy(np.int64), pd.factorize(pdf["year"])
+        apart = int(to_pivot.max(initial=0)) + 2 * radius + 1
+        i, j, d = near_stems(words, asks, group * apart + to_pivot, radius, None if once and held.all() else held)
+        same = group[i] == group[j]
+        i, j, d = i[same], j[same], d[same]
         w = np.array(words, object)
         a, b = w[i], w[j]
         if once and held.all() and asks.all():
             a, b = np.where(a < b, a, b), np.where(a < b, b, a)
         elif once:
             keep = (a < b) | ~pdf["also"].to_numpy(bool)[j]  # members that ask themselves find the pair from their side
-            a, b, d = a[keep], b[keep], d[keep]
-        return pd.DataFrame({"year": pdf["year"].iloc[0], "a": a, "b": b, "d": d}).astype({"year": "int32", "d": "int32"})
+            i, a, b, d = i[keep], a[keep], b[keep], d[keep]
+        return pd.DataFrame({"year": pdf["year"].to_numpy()[i], "a": a, "b": b, "d": d}).astype({"year": "int32", "d": "int32"})
 
     return run
 
@@ -256,7 +269,8 @@ def stem_links(stems: DataFrame, radius: int = RADIUS, per_pivot: int = 2000, ma
     """
     if not hasattr(stems, "_settled_at"):
         stems = settle(stems.select("year", "stem", "asks"))
-    full = max(per_pivot, -(-stems.count() // max_pivots))
+    n_stems = stems.count()
+    full = max(per_pivot, -(-n_stems // max_pivots))
     counts = {int(r["year"]): r["n"] for r in stems.groupBy("year").agg(F.count("*").alias("n")).where(F.col("n") > full).collect()}
     pivots: dict[int, list[str]] = {}
     if counts:
@@ -269,7 +283,8 @@ def stem_links(stems: DataFrame, radius: int = RADIUS, per_pivot: int = 2000, ma
     many = F.col("year").isin(list(pivots)) if pivots else F.lit(False)
     # the pivot of a group of one cell is the empty name
     placed = stems.where(~many).select("year", F.lit(0).alias("cell"), "stem", "asks", F.lit(True).alias("held"), F.length("stem").alias("to_pivot"), F.col("asks").alias("also"))
-    out = placed.groupBy("year").applyInPandas(_join_cell(radius, once), "year int, a string, b string, d int")
+    several = F.pmod(F.xxhash64("year"), F.lit(max(1, n_stems // most)))
+    out = placed.groupBy(several).applyInPandas(_join_cell(radius, once), "year int, a string, b string, d int")
     if pivots:
         cells = _blocks(stems.where(many).mapInPandas(_place(pivots, radius), _CELLS), most)
         out = out.unionByName(cells.groupBy("year", "cell", "i", "j").applyInPandas(_join_cell(radius, once), "year int, a string, b string, d int"))
@@ -303,7 +318,8 @@ def read_rows(rows: DataFrame) -> DataFrame:
     The year is that of the date, else that in the name's brackets or in the title of a
     list of a single year; 0 if none is told.
     """
-    listed = F.regexp_extract(F.coalesce(F.col("source_lists"), F.lit("")), r"\bin (?:\p{L}+ )?(\d{4})(?= \||$)", 1)
+    dated = F.coalesce(F.col("date"), F.lit("")).rlike(r"^\d{4}")
+    listed = F.when(dated, F.lit("")).otherwise(F.regexp_extract(F.coalesce(F.col("source_lists"), F.lit("")), r"\bin (?:\p{L}+ )?(\d{4})(?= \||$)", 1))
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     plain = rows.where(F.coalesce(F.trim("name") != "", F.lit(False))).select(
         F.col("row_no").cast("long"), "name", text("flag"), text("date"), listed.alias("listed_year"), F.col("latitude").cast("double"), F.col("longitude").cast("double")
@@ -335,7 +351,8 @@ def agree(a: str, b: str) -> Column:
     told = (x("given") != "") & (y("given") != "")
     given = (x("given") == y("given")) | (told & short & (F.startswith(bare(x("given")), bare(y("given"))) | F.startswith(bare(y("given")), bare(x("given")))))
     either = lambda c: (x(c) == "") | (y(c) == "") | (x(c) == y(c))
-    return given & (x("number") == y("number")) & either("prefix") & either("country")
+    # told as a difference, so that it is no further key of a join, by which rows would be shuffled once more
+    return given & (x("number") - y("number") == 0) & either("prefix") & either("country")
 
 
 def ship_links(rows: DataFrame, near_km: float = 60.0) -> DataFrame:
@@ -353,16 +370,16 @@ def ship_links(rows: DataFrame, near_km: float = 60.0) -> DataFrame:
 
 def links_of_read(read: DataFrame, near_km: float = 60.0) -> DataFrame:
     """``ship_links`` of rows that ``read_rows`` gave; they are read several times, so they should be settled."""
-    dated = read.where("year > 0")
-    known = settle(dated.groupBy("year", "stem").count().withColumn("asks", F.lit(True)))
+    # years and numbers set names infinitely apart; a number has four digits at most
+    dated = read.where("year > 0 and stem is not null").withColumn("_group", (F.col("year") * 10_000 + F.col("number")).cast("int"))
+    known = settle(dated.groupBy(F.col("_group").alias("year"), "stem").count().withColumn("asks", F.lit(True)))
     near = stem_links(known, once=True)
     same = known.where("count > 1").select("year", F.col("stem").alias("a"), F.col("stem").alias("b"), F.lit(0).alias("d"))
-    pairs = near.unionByName(same)
-    a, b = dated.alias("a"), dated.alias("b")
+    a, b, p = dated.alias("a"), dated.alias("b"), near.unionByName(same).withColumnRenamed("year", "_group").alias("p")
     day = F.startswith(F.col("a.date"), F.col("b.date")) | F.startswith(F.col("b.date"), F.col("a.date"))
     gap = position_gap("a", "b")
-    hit = pairs.alias("p").join(a, (F.col("p.year") == F.col("a.year")) & (F.col("p.a") == F.col("a.stem"))).join(
-        b, (F.col("p.year") == F.col("b.year")) & (F.col("p.b") == F.col("b.stem"))
+    hit = p.join(a, (F.col("p._group") == F.col("a._group")) & (F.col("p.a") == F.col("a.stem"))).join(
+        b, (F.col("p._group") == F.col("b._group")) & (F.col("p.b") == F.col("b.stem"))
     ).where((F.col("p.d") > 0) | (F.col("a.row_no") < F.col("b.row_no"))).where(agree("a", "b") & day & (gap.isNull() | (gap <= near_km)))
     sure = 1 - 0.1 * F.col("p.d") - F.when(gap.isNull(), 0.1).otherwise(0.0) - F.when(F.length("a.date") < 10, 0.1).otherwise(0.0)
     with_year = hit.select(F.least("a.row_no", "b.row_no").alias("row_a"), F.greatest("a.row_no", "b.row_no").alias("row_b"), sure.alias("confidence"), (F.col("a.name") != F.col("b.name")).alias("differ"))
