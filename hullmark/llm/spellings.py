@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hullmark.llm.names import country, parse
@@ -217,8 +217,12 @@ def _join_cell(radius: int, once: bool):
     """The join of one cell, or of several years of one cell each."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        words, asks, held = pdf["stem"].tolist(), pdf["asks"].to_numpy(bool), pdf["held"].to_numpy(bool)
-        to_pivot, (group, _) = pdf["to_pivot"].to_numpy(np.int64), pd.factorize(pdf["year"])
+        words, asks = pdf["stem"].tolist(), pdf["asks"].to_numpy(bool)
+        if "held" in pdf:
+            held, to_pivot, also = pdf["held"].to_numpy(bool), pdf["to_pivot"].to_numpy(np.int64), pdf["also"].to_numpy(bool)
+        else:  # whole years: their pivot is the empty name
+            held, to_pivot, also = np.ones(len(words), bool), np.fromiter(map(len, words), np.int64, len(words)), asks
+        group, _ = pd.factorize(pdf["year"])
         apart = int(to_pivot.max(initial=0)) + 2 * radius + 1
         i, j, d = near_stems(words, asks, group * apart + to_pivot, radius, None if once and held.all() else held)
         same = group[i] == group[j]
@@ -228,7 +232,7 @@ def _join_cell(radius: int, once: bool):
         if once and held.all() and asks.all():
             a, b = np.where(a < b, a, b), np.where(a < b, b, a)
         elif once:
-            keep = (a < b) | ~pdf["also"].to_numpy(bool)[j]  # members that ask themselves find the pair from their side
+            keep = (a < b) | ~also[j]  # members that ask themselves find the pair from their side
             i, a, b, d = i[keep], a[keep], b[keep], d[keep]
         return pd.DataFrame({"year": pdf["year"].to_numpy()[i], "a": a, "b": b, "d": d}).astype({"year": "int32", "d": "int32"})
 
@@ -238,23 +242,29 @@ def _join_cell(radius: int, once: bool):
 _CELLS = "year int, cell int, stem string, asks boolean, held boolean, to_pivot int"
 
 
-def _blocks(placed: DataFrame, most: int) -> DataFrame:
+def _blocks(placed: DataFrame, most: int, max_cells: int) -> DataFrame:
     """``placed`` with the blocks ``i, j`` of asking stems and of members, so that no task compares more than ``most`` of either.
 
     Cells within ``most`` are one block. The few beyond are cut by hash: an asking stem goes
-    to each block of members, a member to each block of asking stems.
+    to each block of members, a member to each block of asking stems. The driver holds the
+    sizes of ``2 * max_cells`` cells at most; ``most`` grows where there would be more.
     """
     placed = settle(placed.withColumn("also", F.col("asks")))
-    full = placed.groupBy("year", "cell").agg(F.count_if("asks").alias("na"), F.count_if("held").alias("nh")).where((F.col("na") > most) | (F.col("nh") > most))
-    cut = lambda n: F.greatest(F.lit(1), F.ceil(F.coalesce(n, F.lit(0)) / most)).cast("int")
-    at = placed.join(full, ["year", "cell"], "left").withColumn("na", cut(F.col("na"))).withColumn("nh", cut(F.col("nh")))
+    most = max(most, -(-placed.count() // max_cells))
+    sizes = placed.groupBy("year", "cell").agg(F.count_if("asks").alias("na"), F.count_if("held").alias("nh"))
+    full = sizes.where((F.col("na") > most) | (F.col("nh") > most)).collect()
+    if not full:
+        return placed.select("*", F.lit(0).alias("i"), F.lit(0).alias("j"))
+    cuts = placed.sparkSession.createDataFrame([(r["year"], r["cell"], -(-r["na"] // most) or 1, -(-r["nh"] // most) or 1) for r in full], "year int, cell int, na int, nh int")
+    at = placed.join(F.broadcast(cuts), ["year", "cell"], "left")
     own = lambda n: F.pmod(F.xxhash64("stem"), n).cast("int")
-    each = lambda n: F.sequence(F.lit(0), n - 1)
-    whole = (F.col("na") == 1) & (F.col("nh") == 1)
-    single = at.where(whole).select(*placed.columns, F.lit(0).alias("i"), F.lit(0).alias("j"))
-    ask = at.where(~whole & F.col("asks")).select(*placed.columns, own(F.col("na")).alias("i"), F.explode(each(F.col("nh"))).alias("j")).withColumn("held", F.lit(False))
-    held = at.where(~whole & F.col("held")).select(*placed.columns, F.explode(each(F.col("na"))).alias("i"), own(F.col("nh")).alias("j"))
-    return single.unionByName(ask).unionByName(held.withColumn("asks", F.lit(False)))
+    block = lambda i, j, asks, held: F.struct(i.alias("i"), j.alias("j"), asks.alias("asks"), held.alias("held"))
+    yes, no, zero = F.lit(True), F.lit(False), F.lit(0)
+    none = F.slice(F.array(block(zero, zero, no, no)), 1, 0)
+    asking = F.when(F.col("asks"), F.transform(F.sequence(zero, F.col("nh") - 1), lambda j: block(own(F.col("na")), j, yes, no))).otherwise(none)
+    held = F.when(F.col("held"), F.transform(F.sequence(zero, F.col("na") - 1), lambda i: block(i, own(F.col("nh")), no, yes))).otherwise(none)
+    where = F.when(F.col("na").isNull(), F.array(block(zero, zero, F.col("asks"), F.col("held")))).otherwise(F.concat(asking, held))
+    return at.select("year", "cell", "stem", "to_pivot", "also", F.explode(where).alias("b")).select("year", "cell", "stem", "to_pivot", "also", "b.*")
 
 
 def stem_links(stems: DataFrame, radius: int = RADIUS, per_pivot: int = 2000, max_pivots: int = 4096, most: int = 16_384, once: bool = False) -> DataFrame:
@@ -274,19 +284,17 @@ def stem_links(stems: DataFrame, radius: int = RADIUS, per_pivot: int = 2000, ma
     counts = {int(r["year"]): r["n"] for r in stems.groupBy("year").agg(F.count("*").alias("n")).where(F.col("n") > full).collect()}
     pivots: dict[int, list[str]] = {}
     if counts:
-        share = F.try_element_at(F.create_map(*[F.lit(x) for y, n in counts.items() for x in (y, min(1.0, 3.0 / full))]), F.col("year"))
-        spot = F.pmod(F.xxhash64("year", "stem"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        drawn = stems.where(spot < share).select("year", "stem", F.row_number().over(Window.partitionBy("year").orderBy(spot, "stem")).alias("n"))
-        for r in drawn.orderBy("year", "n").limit(4 * max_pivots).collect():
-            if r["n"] <= -(-counts[r["year"]] // full):
-                pivots.setdefault(int(r["year"]), []).append(r["stem"])
+        share = int(min(1.0, 3.0 / full) * (1 << 30))
+        drawn = stems.where(F.col("year").isin(list(counts)) & (F.pmod(F.xxhash64("year", "stem"), F.lit(1 << 30)) < share)).select("year", "stem").limit(16 * max_pivots).collect()
+        for year, stem in sorted((int(r["year"]), r["stem"]) for r in drawn):
+            own = pivots.setdefault(year, [])
+            if len(own) < -(-counts[year] // full):
+                own.append(stem)
     many = F.col("year").isin(list(pivots)) if pivots else F.lit(False)
-    # the pivot of a group of one cell is the empty name
-    placed = stems.where(~many).select("year", F.lit(0).alias("cell"), "stem", "asks", F.lit(True).alias("held"), F.length("stem").alias("to_pivot"), F.col("asks").alias("also"))
     several = F.pmod(F.xxhash64("year"), F.lit(max(1, n_stems // most)))
-    out = placed.groupBy(several).applyInPandas(_join_cell(radius, once), "year int, a string, b string, d int")
+    out = stems.where(~many).groupBy(several).applyInPandas(_join_cell(radius, once), "year int, a string, b string, d int")
     if pivots:
-        cells = _blocks(stems.where(many).mapInPandas(_place(pivots, radius), _CELLS), most)
+        cells = _blocks(stems.where(many).mapInPandas(_place(pivots, radius), _CELLS), most, max_pivots)
         out = out.unionByName(cells.groupBy("year", "cell", "i", "j").applyInPandas(_join_cell(radius, once), "year int, a string, b string, d int"))
     return out
 
@@ -306,23 +314,23 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield part.assign(
             stem=[n.stem for n in names], given=[n.given for n in names], number=np.array([n.number for n in names], np.int64), prefix=[n.prefix for n in names],
             name_year=np.array([n.year for n in names], np.int64), country=[flags[f] for f in part["flag"]],
-        )[["row_no", "name", "stem", "given", "number", "prefix", "name_year", "country", "date", "listed_year", "latitude", "longitude"]]
+        )[["row_no", "written", "stem", "given", "number", "prefix", "name_year", "country", "date", "listed_year", "latitude", "longitude"]]
 
 
-READ = "row_no long, name string, stem string, given string, number long, prefix string, name_year long, country string, date string, listed_year string, latitude double, longitude double"
+READ = "row_no long, written long, stem string, given string, number long, prefix string, name_year long, country string, date string, listed_year string, latitude double, longitude double"
 
 
 def read_rows(rows: DataFrame) -> DataFrame:
     """The named rows of a list of ships with their names taken apart and their years.
 
-    The year is that of the date, else that in the name's brackets or in the title of a
+    ``written`` is a 64-bit mark of the name's text, to tell whether two are identical. The year is that of the date, else that in the name's brackets or in the title of a
     list of a single year; 0 if none is told.
     """
     dated = F.coalesce(F.col("date"), F.lit("")).rlike(r"^\d{4}")
     listed = F.when(dated, F.lit("")).otherwise(F.regexp_extract(F.coalesce(F.col("source_lists"), F.lit("")), r"\bin (?:\p{L}+ )?(\d{4})(?= \||$)", 1))
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     plain = rows.where(F.coalesce(F.trim("name") != "", F.lit(False))).select(
-        F.col("row_no").cast("long"), "name", text("flag"), text("date"), listed.alias("listed_year"), F.col("latitude").cast("double"), F.col("longitude").cast("double")
+        F.col("row_no").cast("long"), "name", F.xxhash64("name").alias("written"), text("flag"), text("date"), listed.alias("listed_year"), F.col("latitude").cast("double"), F.col("longitude").cast("double")
     )
     read = plain.mapInPandas(_read, READ)
     year = F.coalesce(F.regexp_extract("date", r"^(\d{4})", 1).try_cast("int"), F.nullif(F.col("name_year"), F.lit(0)).cast("int"), F.col("listed_year").try_cast("int"), F.lit(0))
@@ -334,19 +342,23 @@ def haversine_km(la: Column, lo: Column, lb: Column, lp: Column) -> Column:
     return 2 * 6371.0 * F.asin(F.least(F.lit(1.0), F.sqrt(F.abs(h))))
 
 
+def both_placed(a: str, b: str) -> Column:
+    """Whether both rows have a position."""
+    return F.least(*[(F.col(f"{x}.{c}").isNotNull() & ~F.isnan(f"{x}.{c}")).cast("int") for x in (a, b) for c in ("latitude", "longitude")]) == 1
+
+
 def position_gap(a: str, b: str) -> Column:
     """Kilometres between two rows' positions, the least over the usual slips of entry
     (a sign lost, latitude and longitude exchanged); null if one is missing."""
     la, lo, lb, lp = F.col(f"{a}.latitude"), F.col(f"{a}.longitude"), F.col(f"{b}.latitude"), F.col(f"{b}.longitude")
-    there = ~(la.isNull() | lo.isNull() | lb.isNull() | lp.isNull() | F.isnan(la) | F.isnan(lo) | F.isnan(lb) | F.isnan(lp))
     ways = [(la, lo, lb, lp)] + [(la, lo, s * lb, t * lp) for s, t in ((1, -1), (-1, 1), (-1, -1))] + [(la, lo, s * lp, t * lb) for s in (1, -1) for t in (1, -1)]
-    return F.when(there, F.least(*[haversine_km(*w) for w in ways]))
+    return F.when(both_placed(a, b), F.least(*[haversine_km(*w) for w in ways]))
 
 
 def agree(a: str, b: str) -> Column:
     """Whether what two rows say besides the stem can be of one ship."""
     x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
-    bare = lambda c: F.regexp_replace(c, r"\.$", "")
+    bare = lambda c: F.rtrim(c, F.lit("."))
     short = (F.length(x("given")) == 1) | (F.length(y("given")) == 1) | F.endswith(x("given"), F.lit(".")) | F.endswith(y("given"), F.lit("."))
     told = (x("given") != "") & (y("given") != "")
     given = (x("given") == y("given")) | (told & short & (F.startswith(bare(x("given")), bare(y("given"))) | F.startswith(bare(y("given")), bare(x("given")))))
@@ -381,8 +393,8 @@ def links_of_read(read: DataFrame, near_km: float = 60.0) -> DataFrame:
     hit = p.join(a, (F.col("p._group") == F.col("a._group")) & (F.col("p.a") == F.col("a.stem"))).join(
         b, (F.col("p._group") == F.col("b._group")) & (F.col("p.b") == F.col("b.stem"))
     ).where((F.col("p.d") > 0) | (F.col("a.row_no") < F.col("b.row_no"))).where(agree("a", "b") & day & (gap.isNull() | (gap <= near_km)))
-    sure = 1 - 0.1 * F.col("p.d") - F.when(gap.isNull(), 0.1).otherwise(0.0) - F.when(F.length("a.date") < 10, 0.1).otherwise(0.0)
-    with_year = hit.select(F.least("a.row_no", "b.row_no").alias("row_a"), F.greatest("a.row_no", "b.row_no").alias("row_b"), sure.alias("confidence"), (F.col("a.name") != F.col("b.name")).alias("differ"))
+    sure = 1 - 0.1 * F.col("p.d") - F.when(both_placed("a", "b"), 0.0).otherwise(0.1) - F.when(F.length("a.date") < 10, 0.1).otherwise(0.0)
+    with_year = hit.select(F.least("a.row_no", "b.row_no").alias("row_a"), F.greatest("a.row_no", "b.row_no").alias("row_b"), sure.alias("confidence"), (F.col("a.written") != F.col("b.written")).alias("differ"))
 
     # rows without a year ask among the rows of all years, with number and country in the place
     # of the year: among those of their country and those without one, or, without a
@@ -404,7 +416,7 @@ def links_of_read(read: DataFrame, near_km: float = 60.0) -> DataFrame:
     met = u.join(p, (F.col("a._group") == F.col("p._group")) & (F.col("a.stem") == F.col("p.a"))).join(v, (F.col("b._group") == F.col("p._group")) & (F.col("b.stem") == F.col("p.b"))).where(
         F.col("a.row_no") != F.col("b.row_no")
     ).where(agree("a", "b") & (gap.isNull() | near_enough)).groupBy(F.col("a.row_no").alias("x"), F.col("b.row_no").alias("y")).agg(
-        F.max("b.year").alias("yy"), F.bool_or(gap.isNotNull()).alias("placed"), F.min("p.d").alias("d"), F.bool_or(F.col("a.name") != F.col("b.name")).alias("differ")
+        F.max("b.year").alias("yy"), F.bool_or(both_placed("a", "b")).alias("placed"), F.min("p.d").alias("d"), F.bool_or(F.col("a.written") != F.col("b.written")).alias("differ")
     )
     met = settle(met)
     release(undated, asking)
