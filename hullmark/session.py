@@ -7,6 +7,7 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,9 +65,24 @@ def settle(df: DataFrame) -> DataFrame:
     atexit.register(_remove, spark, path)
     back = spark.read.schema(df.schema).parquet(path)
     back._settled_at = path
+    _settled.append(back)
     return back
 
 
+_settled: list[DataFrame] = []
+
+
+def settled_from(call: Callable[[], DataFrame]) -> DataFrame:
+    """``call()`` settled, and the tables that were settled on the way to it removed."""
+    begun = len(_settled)
+    out = settle(call())
+    on_the_way = _settled[begun:-1]
+    release(*on_the_way)
+    del _settled[begun:]
+    _settled.append(out)
+    return out
+
+
 def release(*settled: DataFrame | None) -> None:
     """Remove tables that ``settle`` wrote, once nothing that is still to be computed reads them."""
     for df in settled:
