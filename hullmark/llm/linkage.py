@@ -13,8 +13,11 @@ none of its records has a position that speaks against it.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 
 from hullmark.llm.names import parse
 from hullmark.llm.spellings import agree, links_of_read, position_gap, read_rows
-from hullmark.session import settle
+from hullmark.session import release, settle, settled_from
 
 # Phrases ahead of a ship's name in a chart note.
 _TOLD = re.compile(
@@ -76,38 +79,59 @@ def read_chart(rows: DataFrame) -> DataFrame:
     return plain.mapInPandas(_read, READ)
 
 
-def _keys(stem: str) -> Column:
+def _attributes(stem: str) -> list[tuple[str, Column]]:
+    """What stems may share, as marks: the head, the tail, the consonants and the letters."""
     s = F.col(stem)
     letters = F.array_join(F.array_sort(F.split(s, "")), "")
-    bones = F.regexp_replace(F.regexp_replace(s, "[aeiouy]", ""), r"(.)\1+", "$1")
-    return F.array_distinct(F.array(F.concat(F.lit("h"), F.substring(s, 1, 5)), F.concat(F.lit("t"), F.substring(s, -5, 5)), F.concat(F.lit("b"), bones), F.concat(F.lit("l"), letters)))
+    bones = F.regexp_replace(F.translate(s, "aeiouy", ""), r"(.)\1+", "$1")
+    return [(k, F.xxhash64(F.lit(k), v)) for k, v in (("h", F.substring(s, 1, 5)), ("t", F.substring(s, -5, 5)), ("b", bones), ("l", letters))]
 
 
 def stem_edges(left: DataFrame, right: DataFrame, keep: float = 0.15) -> DataFrame:
-    """``a, b, d, weight`` between distinct stems of the two sides that share an attribute and are near."""
-    a = left.select("stem").distinct().select(F.col("stem").alias("a"), F.explode(_keys("stem")).alias("k"))
-    b = right.select("stem").distinct().select(F.col("stem").alias("b"), F.explode(_keys("stem")).alias("k"))
-    b = settle(b)
-    known = b.groupBy("k").agg(F.count("*").alias("df"))
-    total = b.count()
-    rare = F.log(F.lit(float(max(total, 2))) / F.col("df"))
+    """``a, b, d, weight`` between distinct stems of the two sides that share rare attributes and are near.
+
+    A shared attribute weighs ln(N / its frequency on the right). Meta-blocking goes by weight
+    and comes before any comparison: an edge is dropped if it weighs less than ``keep`` of all
+    that ``a`` has to share. Two stems meet at the rarest attribute they share; as that and what
+    is more frequent must reach the bound, the frequent attributes of a stem are not
+    looked up at all. So an attribute that a third of all stems share pairs nothing.
+    """
+    names = ["h", "t", "b", "l"]
+    plain = lambda df: df.select("stem").distinct().select("stem", *[v.alias(k) for k, v in _attributes("stem")])
+    marks = lambda: F.explode(F.array(*[F.struct(F.lit(n).alias("kind"), F.col(n).alias("k")) for n in names])).alias("m")
+    b = settle(plain(right))
+    by_key = b.select(F.col("stem").alias("b"), F.col("b").alias("b_b"), F.col("l").alias("b_l"), marks()).select("b", "b_b", "b_l", "m.k")
+    each = plain(left).select("stem", marks()).select("stem", "m.*")
+    known = b.select(marks()).select("m.k").join(each.select("k").distinct(), "k", "left_semi").groupBy("k").agg(F.count("*").alias("df"))
+    total = float(max(b.count(), 2))
+    # of each left stem what each attribute weighs, below zero if nothing on the right has it
+    weight = F.when(F.col("df").isNull(), F.lit(-math.log(total))).otherwise(F.log(F.lit(total) / F.col("df")))
+    own = each.join(known, "k", "left").groupBy("stem").agg(*[F.max(F.when(F.col("kind") == n, weight)).alias(f"s_{n}") for n in names])
+    own = own.select("stem", *[v.alias(k) for k, v in _attributes("stem")], *[F.abs(f"s_{n}").alias(f"w_{n}") for n in names], *[(F.col(f"s_{n}") >= 0).alias(f"met_{n}") for n in names])
+    rarer = lambda n, m: (F.col(f"w_{n}") > F.col(f"w_{m}")) | ((F.col(f"w_{n}") == F.col(f"w_{m}")) & F.lit(names.index(n) < names.index(m)))
+    least = F.lit(keep) * sum(F.col(f"w_{n}") for n in names)
+    ways = [F.struct(
+        F.col(m).alias("k"), (F.col(f"met_{m}") & (sum(F.when(rarer(n, m), 0.0).otherwise(F.col(f"w_{n}")) for n in names) >= least)).alias("on"), *[(rarer(n, m) if n != m else F.lit(False)).alias(f"before_{n}") for n in names]
+    ) for m in names]
+    asked = own.select(F.col("stem").alias("a"), F.col("b").alias("a_b"), F.col("l").alias("a_l"), *[f"w_{n}" for n in names], least.alias("least"), F.explode(F.array(*ways)).alias("way")).where("way.on").select("*", "way.*").drop("way", "on")
+    shares = {"h": F.substring("a", 1, 5) == F.substring("b", 1, 5), "t": F.substring("a", -5, 5) == F.substring("b", -5, 5), "b": F.col("a_b") == F.col("b_b"), "l": F.col("a_l") == F.col("b_l")}
+    alike = asked.join(by_key, "k").where(F.abs(F.length("a") - F.length("b")) <= 3)
+    # a pair meets at the rarest attribute it shares only
+    met = alike.where(~reduce(or_, [F.col(f"before_{n}") & shares[n] for n in names])).withColumn("weight", sum(F.when(shares[n], F.col(f"w_{n}")).otherwise(0.0) for n in names))
     shorter = F.least(F.length("a"), F.length("b"))
     most = F.when(shorter >= 9, 3).when(shorter >= 6, 2).when(shorter >= 4, 1).otherwise(0)
-    met = a.join(known, "k").join(b, "k").where(F.abs(F.length("a") - F.length("b")) <= 3).withColumn("d", F.levenshtein("a", "b", 3))
-    edges = met.where((F.col("d") >= 0) & (F.col("d") <= most)).groupBy("a", "b").agg(F.first("d").alias("d"), F.sum(rare).alias("weight"))
-    edges = settle(edges)
-    best_a = edges.groupBy("a").agg(F.max("weight").alias("wa"))
-    best_b = edges.groupBy("b").agg(F.max("weight").alias("wb"))
-    return edges.join(best_a, "a").join(best_b, "b").where(F.col("weight") >= keep * F.greatest("wa", "wb")).select("a", "b", "d", "weight")
+    near = met.where(F.col("weight") >= F.col("least")).withColumn("d", F.levenshtein("a", "b", 3))
+    return near.where((F.col("d") >= 0) & (F.col("d") <= most)).select("a", "b", "d", "weight")
 
 
-def _cells(lat: Column, lon: Column, around: bool, deg: float = 0.5) -> Column:
-    """Grid cells of a position, with the eight around it if asked for."""
-    turn = F.lit(round(360 / deg))
-    y, x = F.floor(lat / deg), F.floor((lon + 180) / deg)
-    if not around:
-        return F.array(F.struct(y.alias("y"), F.pmod(x, turn).alias("x")))
-    return F.flatten(F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda dy: F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda dx: F.struct((y + dy).alias("y"), F.pmod(x + dx, turn).alias("x")))))
+def _cells(lat: Column, lon: Column, km: float = 0.0, deg: float = 2.0) -> Column:
+    """The grid cells that a circle of ``km`` around a position can touch; its own cell for 0."""
+    turn = round(360 / deg)
+    tall = km / 111.0
+    far = F.when(F.abs(lat) + tall >= 89, F.lit(180.0)).otherwise(tall / F.cos(F.radians(F.abs(lat) + tall)))
+    row = lambda y: F.floor(y / deg).cast("int")
+    ys, xs = F.sequence(row(lat - tall), row(lat + tall)), F.sequence(row(lon + 180 - far), row(lon + 180 + far))
+    return F.array_distinct(F.flatten(F.transform(ys, lambda y: F.transform(xs, lambda x: y * 1000 + F.pmod(x, F.lit(turn))))))
 
 
 def match(chart_rows: DataFrame, list_rows: DataFrame, near_km: float = 30.0) -> DataFrame:
@@ -118,30 +142,30 @@ def match(chart_rows: DataFrame, list_rows: DataFrame, near_km: float = 30.0) ->
     give no ship's name are in no pair; repeated rows each have their pairs; an empty
     table on either side gives none. Missing and impossible positions count as missing.
     """
-    chart = settle(read_chart(chart_rows))
-    listed = settle(read_rows(list_rows))
-    edges = settle(stem_edges(chart, listed))
+    chart, listed = settle(read_chart(chart_rows)), settle(read_rows(list_rows))
+    edges = settled_from(lambda: stem_edges(chart, listed))
     met_a, met_b = edges.select(F.col("a").alias("stem")).distinct(), edges.select(F.col("b").alias("stem")).distinct()
-    chart = settle(chart.join(met_a, "stem", "left_semi").select(*chart.columns))
-    ships = settle(listed.join(met_b, "stem", "left_semi").select(*listed.columns))
+    named = settle(chart.join(met_a, "stem", "left_semi").select(*[c for c in chart.columns if c != "name"]))
+    release(chart)
+    chart, ships = named, settle(listed.join(met_b, "stem", "left_semi").select("row_no", "stem", "given", "number", "prefix", "country", "latitude", "longitude", "year"))
     there = F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & ~F.isnan("latitude") & ~F.isnan("longitude")
 
     lat, lon = F.col("latitude"), F.col("longitude")
     slips = F.array(*[F.struct(a.alias("la"), b.alias("lo")) for a, b in ((lat, lon), (lat, -lon), (-lat, lon), (-lat, -lon), (lon, lat), (-lon, lat), (lon, -lat), (-lon, -lat))])
-    wide = ships.where(there).select("*", F.explode(F.array_distinct(slips)).alias("s")).where((F.abs("s.la") <= 90) & (F.abs("s.lo") <= 180))
-    wide = wide.select(*ships.columns, F.explode(_cells(F.col("s.la"), F.col("s.lo"), False)).alias("cell"))
-    spots = chart.where(there).select(*chart.columns, F.explode(_cells(lat, lon, True)).alias("cell"))
+    own = F.transform(F.filter(slips, lambda p: (F.abs(p["la"]) <= 90) & (F.abs(p["lo"]) <= 180)), lambda p: F.get(_cells(p["la"], p["lo"]), F.lit(0)))
+    wide = ships.where(there).select(*ships.columns, F.explode(F.array_distinct(own)).alias("cell"))
+    spots = chart.where(there).join(edges, chart["stem"] == edges["a"]).select(*chart.columns, "b", "d", F.explode(_cells(lat, lon, near_km)).alias("cell"))
     year_ok = (F.col("n.loss_year") == 0) | (F.col("w.year") == 0) | (F.col("n.loss_year") == F.col("w.year"))
     gap = position_gap("n", "w")
     n, w, e = spots.alias("n"), wide.alias("w"), edges.alias("e")
-    placed = n.join(e, F.col("n.stem") == F.col("e.a")).join(w, (F.col("e.b") == F.col("w.stem")) & (F.col("n.cell") == F.col("w.cell"))).where(
+    placed = n.join(w, (F.col("n.b") == F.col("w.stem")) & (F.col("n.cell") == F.col("w.cell"))).where(
         agree("n", "w") & year_ok & (gap <= near_km)
-    ).select(F.col("n.row_no").alias("x"), F.col("w.row_no").alias("y"), (1 - 0.1 * F.col("e.d") - F.when(gap > 10, 0.1).otherwise(0.0)).alias("s"))
+    ).select(F.col("n.row_no").alias("x"), F.col("w.row_no").alias("y"), (1 - 0.1 * F.col("n.d") - F.when(gap > 10, 0.1).otherwise(0.0)).alias("s"))
     pairs = settle(placed.groupBy("x", "y").agg(F.max("s").alias("s")))
 
     # links among all list rows: a stem that meets no chart stem is reached through a linked row
-    links = settle(links_of_read(listed).select("row_a", "row_b", "confidence"))
-    both = settle(links.unionByName(links.select(F.col("row_b").alias("row_a"), F.col("row_a").alias("row_b"), "confidence")))
+    links = settled_from(lambda: links_of_read(listed).select("row_a", "row_b", "confidence"))
+    both = links.unionByName(links.select(F.col("row_b").alias("row_a"), F.col("row_a").alias("row_b"), "confidence"))
 
     # names alone
     with_place = ships.where(there).select("row_no")
@@ -161,18 +185,24 @@ def match(chart_rows: DataFrame, list_rows: DataFrame, near_km: float = 30.0) ->
     # linked rows of stems that met no chart stem were not compared by place; theirs may speak against it
     others = listed.where(there).join(met_b, "stem", "left_anti").select(F.col("row_no").alias("row_b"), "latitude", "longitude")
     others = both.join(others, "row_b").select(F.col("row_a").alias("y"), "latitude", "longitude")
-    by_name = settle(by_name)
-    told = by_name.select("x", "y").join(chart.where(there).select(F.col("row_no").alias("x"), "latitude", "longitude"), "x").alias("c").join(others.alias("o"), F.col("c.y") == F.col("o.y"))
+    by_name_found = settle(by_name)
+    told = by_name_found.select("x", "y").join(chart.where(there).select(F.col("row_no").alias("x"), "latitude", "longitude"), "x").alias("c").join(others.alias("o"), F.col("c.y") == F.col("o.y"))
     against = told.where(position_gap("c", "o") > near_km).select("c.x", "c.y").distinct()
-    by_name = by_name.join(against, ["x", "y"], "left_anti")
-    pairs = settle(pairs.unionByName(by_name).groupBy("x", "y").agg(F.max("s").alias("s")))
-
-    # similarity spreads to rows that mean the same ship, until nothing is added
-    new = pairs
-    while True:  # ends, as each round adds pairs of which there are finitely many
-        reached = new.join(both, new["y"] == both["row_a"]).select("x", F.col("row_b").alias("y"), (F.col("s") * 0.95 * F.least(F.lit(1.0), F.col("confidence") + 0.1)).alias("s"))
-        new = settle(reached.groupBy("x", "y").agg(F.max("s").alias("s")).join(pairs.select("x", "y"), ["x", "y"], "left_anti"))
-        if new.isEmpty():
+    by_name = by_name_found.join(against, ["x", "y"], "left_anti")
+    begun = settle(pairs.unionByName(by_name).groupBy("x", "y").agg(F.max("s").alias("s")))
+    release(pairs, by_name_found, edges, chart, ships, listed)
+    # Similarity spreads to rows that mean the same ship: a pair is as good as its own evidence or, a
+    # little less, as its best neighbour's. Each round passes on what the last one raised.
+    # It ends, as a way round never raises a pair, and of other ways there are finitely many.
+    pairs = raised = begun
+    while True:
+        reached = raised.join(both, raised["y"] == both["row_a"]).select("x", F.col("row_b").alias("y"), (F.col("s") * 0.95 * F.least(F.lit(1.0), F.col("confidence") + 0.1)).alias("new"))
+        reached = reached.groupBy("x", "y").agg(F.max("new").alias("new"))
+        better = reached.join(pairs, ["x", "y"], "left").where(F.col("s").isNull() | (F.col("new") > F.col("s") + 1e-9)).select("x", "y", F.col("new").alias("s"))
+        raised = settle(better)
+        if raised.isEmpty():
             break
-        pairs = settle(pairs.unionByName(new))
+        old, pairs = pairs, settle(pairs.unionByName(raised).groupBy("x", "y").agg(F.max("s").alias("s")))
+        release(old)
+    release(links, raised)
     return pairs.select(F.col("x").alias("chart_row"), F.col("y").alias("list_row"), F.col("s").alias("confidence"))

@@ -243,3 +243,35 @@ def test_windows_equal_single_scores(model):
     assert abuse.score_passages(model, [text])[0] >= want - 1e-6
     alone = abuse.score_passages(model, [text, "go to hell"])
     assert alone[1] == pytest.approx(abuse.score_passages(model, ["go to hell"])[0], abs=1e-6)
+
+
+def test_pruning_removes_candidates_and_loses_no_pair(spark):
+    rng = random.Random(6)
+    # a third of all stems begin alike: that head alone must pair nothing
+    right = sorted({"prinz" + "".join(rng.choice("abdegilnorsuvz") for _ in range(8)) for _ in range(150)} | {"".join(rng.choice("abdegilnorsuvz") for _ in range(12)) for _ in range(300)})
+    left = [w[:7] + "x" + w[7:] for w in right[::9]]
+    true = set(zip(left, right[::9], strict=True))
+    a, b = (spark.createDataFrame([(w,) for w in x], "stem string") for x in ([*left, "prinzqbwtedvf"], [*right, "prinzqawsedrf"]))
+    every, kept = ({(r.a, r.b) for r in linkage.stem_edges(a, b, k).collect()} for k in (0.0, 0.15))
+    assert true <= kept <= every and all(names.distance(x, y) <= 3 for x, y in every)
+    # what only the common head joins weighs too little to be looked up
+    assert ("prinzqbwtedvf", "prinzqawsedrf") in every - kept
+
+
+def test_neighbours_raise_a_pair(spark):
+    # row 102 has no position; its own evidence is its name, its neighbour's is a place 1 m away
+    chart = [(1, "RELKANDOSMEGAR", None, 10.0, 20.0)]
+    lists = [(101, "Relkandosmegar", "", "1900-05-01", 10.0, 20.0, "", "clash"), (102, "Relkandosmegar.", "", "1900-05-01", None, None, "", "clash"), (103, "Relkandosmegaa", "", "1900-05-01", 10.2, 20.0, "", "clash")]
+    a = spark.createDataFrame(chart, "row_no long, name string, note string, latitude double, longitude double")
+    got = {r.list_row: round(r.confidence, 4) for r in linkage.match(a, spark.createDataFrame(lists, LISTED)).collect()}
+    assert got[101] == 1.0 and got[102] == 0.95 and got[103] > 0.8
+
+
+def test_circles_touch_the_cells_of_all_near_positions(spark):
+    rng = random.Random(8)
+    spots = [(rng.uniform(-89, 89), rng.uniform(-180, 180)) for _ in range(300)] + [(89.9, 10.0), (60.0, 179.99), (-75.0, -179.9)]
+    rows = [(la, lo, la + dy, ((lo + dx / max(0.02, np.cos(np.radians(la))) + 180) % 360) - 180) for la, lo in spots for dx in (-0.26, 0, 0.26) for dy in (-0.05, 0.05) if abs(la + dy) <= 90]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    near = df.where(spellings.haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d")) <= 30)
+    wrong = near.where(~F.array_contains(linkage._cells(F.col("a"), F.col("b"), 30.0), linkage._cells(F.col("c"), F.col("d"))[0]))
+    assert near.count() > 1000 and wrong.count() == 0
