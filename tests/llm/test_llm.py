@@ -270,7 +270,7 @@ def test_neighbours_raise_a_pair(spark):
 def test_circles_touch_the_cells_of_all_near_positions(spark):
     rng = random.Random(8)
     spots = [(rng.uniform(-89, 89), rng.uniform(-180, 180)) for _ in range(300)] + [(89.9, 10.0), (60.0, 179.99), (-75.0, -179.9)]
-    rows = [(la, lo, la + dy, ((lo + dx / max(0.02, np.cos(np.radians(la))) + 180) % 360) - 180) for la, lo in spots for dx in (-0.26, 0, 0.26) for dy in (-0.05, 0.05) if abs(la + dy) <= 90]
+    rows = [(la, lo, la + dy, float(((lo + dx / max(0.02, np.cos(np.radians(la))) + 180) % 360) - 180)) for la, lo in spots for dx in (-0.26, 0, 0.26) for dy in (-0.05, 0.05) if abs(la + dy) <= 90]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double")
     near = df.where(spellings.haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d")) <= 30)
     wrong = near.where(~F.array_contains(linkage._cells(F.col("a"), F.col("b"), 30.0), linkage._cells(F.col("c"), F.col("d"))[0]))
