@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 CLASSES = ("none", "abuse", "hate", "sexual")
 BUCKETS = 1 << 17
 RUNS = (3, 4, 5)
+FEW = 9  # features of a single word of four letters
 
 # Passages of our own, beside the labelled ones: what such language tends to look like.
 OWN = {
@@ -58,26 +59,42 @@ LOOKS_LIKE = str.maketrans(
     "013457@$!|" + "аеорсухіѕјԁһкмтвнΑΒΕΖΗΙΚΜΝΟΡΤΥΧαορνι",
     "oieastasii" + "aeopcyxisjdhkmtbhabezhikmnoptyxaopvi",
 )
+_HIGH = {k: v for k, v in LOOKS_LIKE.items() if k > 0x36F}
 _UNSEEN = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 _SPREAD = re.compile(r"(?<!\w)(?:[^\W\d_][ .\-_*]){2,}[^\W\d_](?!\w)")
 _LEET = re.compile(r"(?=[\w@$!|]*[^\W\d_])(?=[\w@$!|]*[0-9@$!|])[\w@$|!]{3,}")
+_MIXED = re.compile(r"[^\W\d_].*[0-9@$!|].*[^\W\d_]|^[0-9@$][^\W\d_]{2}")
 _LONG = re.compile(r"(.)\1{2,}")
+_SIGNS = re.compile(r"(?<!\w)\*|\*(?!\w)|[^\w*\n]|_")
 _SPLIT = re.compile(r"[\n\r]+|(?<=[.!?…])[\"”»')\]]*\s+|\s*\|\s*|(?<=[;])\s+")
 
 
+def _unleet(m: re.Match) -> str:
+    word = m.group()
+    return word if word.strip("!|").isdigit() or not _MIXED.search(word) else word.translate(LOOKS_LIKE)
+
+
+def plain_all(texts: list[str]) -> list[str]:
+    """``plain`` of many texts without line breaks, as one text of a line each."""
+    text = "\n".join(t.replace("\n", " ") for t in texts)
+    if not text.isascii():
+        text = unicodedata.normalize("NFKC", text).translate(_UNSEEN)
+    text = _SPREAD.sub(lambda m: re.sub(r"[ .\-_*]", "", m.group()), text)
+    text = _LEET.sub(_unleet, text).casefold()
+    if not text.isascii():
+        text = unicodedata.normalize("NFKD", text.translate(_HIGH))
+        text = text.translate({ord(c): None for c in set(text) if unicodedata.combining(c)})
+    text = _SIGNS.sub(" ", _LONG.sub(r"\1", text))
+    return [" ".join(t.split()) for t in text.split("\n")]
+
+
 def plain(text: str) -> str:
     """Lower-case letters and single blanks, with disguises undone; other signs become blanks, a star inside a word stays."""
-    text = unicodedata.normalize("NFKC", text).translate(_UNSEEN)
-    text = _SPREAD.sub(lambda m: re.sub(r"[ .\-_*]", "", m.group()), text)
-    text = _LEET.sub(lambda m: m.group() if m.group().strip("!|").isdigit() or not re.search(r"[^\W\d_].*[0-9@$!|].*[^\W\d_]|^[0-9@$][^\W\d_]{2}", m.group()) else m.group().translate(LOOKS_LIKE), text)
-    text = "".join(c.translate(LOOKS_LIKE) if ord(c) > 0x36F else c for c in text.casefold())
-    text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
-    text = _LONG.sub(r"\1", text)
-    return " ".join(re.sub(r"(?<!\w)\*|\*(?!\w)|[^\w*]|_", " ", text).split())
+    return plain_all([text])[0]
 
 
 def passages(text: str) -> list[str]:
-    return [p for p in (plain(x) for x in _SPLIT.split(text)) if p]
+    return [p for p in plain_all([x for x in _SPLIT.split(text) if x]) if p]
 
 
 class Bag:
@@ -180,49 +197,55 @@ def score_passages(table: np.ndarray, parts: list[str], window: int = 10, step:
     """Per passage the worst of the whole and, if it is longer, of its windows of words."""
     if not parts:
         return np.zeros(0)
-    bag = Bag(parts)
+    bag, k = Bag(parts), len(CLASSES)
     n = len(bag.letters)
-    sums, counts, fresh = np.zeros((n + 1, len(CLASSES))), np.zeros(n + 1), np.zeros(n + 1)
-    trained_on = np.any(table != 0, axis=1)
+    # per bucket its part of each class, one, and whether it was never trained on
+    wide = np.column_stack((table, np.ones(len(table), np.float32), ~np.any(table != 0, axis=1))).astype(np.float32)
+    sums = np.zeros((n + 1, k + 2))
     for at, bucket in bag.features():
-        fresh[1:] += np.bincount(at, ~trained_on[bucket], n)
-        for k in range(len(CLASSES)):
-            sums[1:, k] += np.bincount(at, table[bucket, k], n)
-        counts[1:] += np.bincount(at, minlength=n)
+        sums[at + 1] += wide[bucket]  # of one kind, only one feature begins at a letter
     np.cumsum(sums, 0, out=sums)
-    np.cumsum(counts, out=counts)
-    np.cumsum(fresh, out=fresh)
     ends = bag.starts + bag.lengths
 
     def between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        n_features = counts[b] - counts[a]
-        # a few letters alone prove little
-        n = np.maximum(n_features, 1)
-        return _bad((sums[b] - sums[a]) / n[:, None], (fresh[b] - fresh[a]) / n) * np.minimum(1.0, n_features / 25)
+        part = sums[b] - sums[a]
+        n_features = part[:, k]
+        per = part / np.maximum(n_features, 1)[:, None]
+        # a few letters alone prove little, but a whole word is one
+        return _bad(per[:, :k], per[:, k + 1]) * np.minimum(1.0, n_features / FEW)
 
     worst = between(bag.starts, ends)
     space = np.flatnonzero(bag.letters == 32)
     first = np.searchsorted(space, bag.starts)  # the blank each passage begins with
     words = np.searchsorted(space, ends - 1) - first
-    for i in np.flatnonzero(words > window + 2):
-        at = np.arange(0, words[i] - window + step, step)
-        at = np.minimum(at, words[i] - window)
-        a, b = space[first[i] + at], space[first[i] + at + window]
-        worst[i] = max(worst[i], between(a, b).max())
+    long = np.flatnonzero(words > window + 2)
+    if len(long):
+        turns = -(-(words[long] - window) // step) + 1
+        begins = np.concatenate(([0], np.cumsum(turns)[:-1]))
+        at = (np.arange(turns.sum()) - np.repeat(begins, turns)) * step
+        at = np.minimum(at, np.repeat(words[long] - window, turns)) + np.repeat(first[long], turns)
+        worst[long] = np.maximum(worst[long], np.maximum.reduceat(between(space[at], space[at + window]), begins))
     return worst
 
 
-def fit(labelled: list[tuple[str, str]], weak: list[str], folds: int = 5, seed: int = 3) -> tuple[np.ndarray, dict]:
-    """Train on labelled passages, our own, and passages taken for harmless (``weak``).
+def fit(labelled: list[tuple[str, str]], common: list[tuple[str, float]], folds: int = 5, seed: int = 3, boilerplate: float = 0.001) -> tuple[np.ndarray, dict]:
+    """Train on labelled passages, our own, and the ``common`` passages of the corpus (with the share of documents that have each).
 
-    Passages whose label the other folds contradict clearly are left out as mistakes, and so
-    are weak ones the first model finds bad. Also gives the held-out figures.
+    A passage that stands in more than a share ``boilerplate`` of all documents is a form, and
+    taken for harmless whatever the labels say; so are the other common ones, but for those the first
+    model finds bad. Labelled passages whose label the other folds contradict clearly, or the corpus as
+    a form, are left out as mistakes. Also gives the held-out figures.
     """
-    texts = [plain(t) for t, _ in labelled]
+    texts = plain_all([t for t, _ in labelled])
+    shares: dict[str, float] = {}
+    for p, share in zip(plain_all([t for t, _ in common]), (x for _, x in common), strict=True):
+        if p:
+            shares[p] = shares.get(p, 0.0) + share
     keep = [i for i, t in enumerate(texts) if t]
-    texts, y = [texts[i] for i in keep], np.array([CLASSES.index(labelled[i][1]) for i in keep])
+    texts, y = [texts[i] for i in keep], np.array([CLASSES.index(labelled[i][1]) for i in keep], int)
+    formal = np.array([shares.get(t, 0.0) > boilerplate for t in texts], bool) & (y > 0)
     own = [(plain(t), CLASSES.index(c)) for c, block in OWN.items() for line in block.split("\n") for t in line.split("|")]
-    weak = [p for p in weak if p]
+    forms, others = [p for p, x in shares.items() if x > boilerplate], [p for p, x in shares.items() if x <= boilerplate]
     rng = np.random.default_rng(seed)
     fold = rng.integers(0, folds, len(texts))
     held = np.zeros(len(texts))
@@ -233,43 +256,77 @@ def fit(labelled: list[tuple[str, str]], weak: list[str], folds: int = 5, seed:
         w = np.concatenate([np.ones(len(labels)), np.full(len(own), 0.7), np.full(len(harmless), 0.5)])
         return train(parts, ys, w, seed=turn)
 
-    few = weak[: len(weak) // 4]
     for k in range(folds):
-        rest = np.flatnonzero(fold != k)
-        table = learn([texts[i] for i in rest], y[rest], few, k)
+        rest = np.flatnonzero((fold != k) & ~formal)
+        table = learn([texts[i] for i in rest], y[rest], forms, k)
         held[fold == k] = score_passages(table, [texts[i] for i in np.flatnonzero(fold == k)])
     truth = y > 0
-    wrong = (truth & (held < 0.15)) | (~truth & (held > 0.97))
+    wrong = formal | (truth & (held < 0.15)) | (~truth & (held > 0.97))
     good = np.flatnonzero(~wrong)
-    first = learn([texts[i] for i in good], y[good], few, 11)
-    harmless = [p for p, s in zip(weak, score_passages(first, weak), strict=True) if s < 0.5]
-    table = learn([texts[i] for i in good], y[good], harmless, 12)
+    base, labels = [texts[i] for i in good], y[good]
+    first = learn(base, labels, forms, 11)
+    harmless = forms + [p for p, s in zip(others, score_passages(first, others), strict=True) if s < 0.5]
+    table = learn(base, labels, harmless, 12)
     said = held > 0.5
-    told = {"passages": len(texts), "held_out_precision": float((said & truth).sum() / max(1, said.sum())), "held_out_recall": float((said & truth).sum() / max(1, truth.sum())), "taken_for_mistakes": int(wrong.sum()), "weak": len(harmless)}
+    told = {"passages": len(texts), "held_out_precision": float((said & truth).sum() / max(1, said.sum())), "held_out_recall": float((said & truth).sum() / max(1, truth.sum())), "taken_for_mistakes": int(wrong.sum()), "forms": len(forms), "common": len(harmless)}
     return table, told
 
 
 def _score(table: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for at in range(0, len(pdf), 256):
-                part = pdf.iloc[at : at + 256]
-                cut = [passages(t) if isinstance(t, str) else [] for t in part["_text"]]
-                unique = list(dict.fromkeys(p for c in cut for p in c))
-                scores = dict(zip(unique, score_passages(table, unique), strict=True))
-                yield pd.DataFrame({"_key": part["_key"].to_numpy(), "score": [max((float(scores[p]) for p in c), default=0.0) for c in cut]})
+            for at in range(0, len(pdf), 512):
+                part = pdf.iloc[at : at + 512]
+                cut = [[x for x in _SPLIT.split(t) if x] if isinstance(t, str) else [] for t in part["_text"]]
+                unique = list(dict.fromkeys(x for c in cut for x in c))
+                forms = plain_all(unique) if unique else []
+                scores, group, size = {}, [], 0
+                for p in dict.fromkeys(forms):  # some letters at a time, so that memory stays bounded
+                    group.append(p)
+                    size += len(p)
+                    if size > 400_000:
+                        scores |= zip(group, score_passages(table, group), strict=True)
+                        group, size = [], 0
+                scores |= zip(group, score_passages(table, group), strict=True)
+                of = {x: float(scores[p]) if p else 0.0 for x, p in zip(unique, forms, strict=True)}
+                yield pd.DataFrame({"_key": part["_key"].to_numpy(), "score": [max((of[x] for x in c), default=0.0) for c in cut]})
 
     return run
 
 
-def trained(documents: DataFrame, labels: DataFrame, text: str = "text", weak_texts: int = 600, weak_passages: int = 4000, most_labels: int = 20_000) -> tuple[np.ndarray, dict]:
-    """A model of at most ``most_labels`` labelled rows and ``weak_passages`` passages of ``weak_texts`` texts, both drawn by hash."""
+def common_passages(documents: DataFrame, text: str = "text", most: int = 4000) -> list[tuple[str, float]]:
+    """Passages of the ``most`` forms that stand in the most documents, counted over all of them, each with its own share of the documents.
+
+    Passages are of one form if they differ in words with a capital and in numbers only. Of a form its most
+    frequent passage is given, and the first and last in text order.
+    """
+    pieces = F.array_distinct(F.filter(F.split(F.col(text), r"[\n\r]+|(?<=[.!?…;])\s+|\s*\|\s*"), lambda x: (F.length(x) > 0) & (F.length(x) < 400)))
+    counts = documents.where(F.col(text).isNotNull()).select(F.explode(pieces).alias("p")).groupBy("p").agg(F.count("*").alias("n"))
+    form = F.regexp_replace(F.regexp_replace("p", r"\p{Lu}[\p{L}'’.-]*", "*"), r"\p{N}+", "0")
+    forms = counts.groupBy(form.alias("form")).agg(F.sum("n").alias("all"), F.max("n").alias("n"), F.max_by("p", F.struct("n", "p")).alias("p"), F.min("p").alias("low"), F.max("p").alias("high")).where("all > 1")
+    total, out = max(1, documents.count()), {}
+    for r in forms.orderBy(F.desc("all"), "form").limit(most).collect():
+        out |= {r["low"]: 0.0, r["high"]: 0.0}
+        out[r["p"]] = r["n"] / total
+    return list(out.items())
+
+
+_MODELS: dict[int, tuple[np.ndarray, dict]] = {}
+
+
+def trained(documents: DataFrame, labels: DataFrame, text: str = "text", most_common: int = 4000, most_labels: int = 20_000) -> tuple[np.ndarray, dict]:
+    """A model of at most ``most_labels`` labelled rows, drawn by hash, and the ``most_common`` passages that recur most in all documents.
+
+    Rows without a text or with another label teach nothing. The model of the same passages is trained once in a session.
+    """
     rows = labels.where(F.col("text").isNotNull() & F.col("label").isin(*CLASSES)).orderBy(F.xxhash64("item_id"), "item_id").limit(most_labels).select("text", "label").collect()
-    drawn = documents.where(F.length(text) > 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(weak_texts).select(F.substring(text, 1, 100_000)).collect()
-    parts = sorted({p for r in drawn for p in passages(r[0])})
-    rng = np.random.default_rng(1)
-    parts = [parts[i] for i in rng.permutation(len(parts))[:weak_passages]]
-    return fit([(r["text"], r["label"]) for r in sorted(rows)], parts)
+    taught = sorted((r["text"], r["label"]) for r in rows)
+    common = sorted(common_passages(documents, text, most_common))
+    key = hash((tuple(taught), tuple(common)))
+    if key not in _MODELS:
+        _MODELS.clear()
+        _MODELS[key] = fit(taught, common)
+    return _MODELS[key]
 
 
 def scored(documents: DataFrame, table: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -71,7 +71,8 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reached_shares(settle(_mixed(spark, sf_dir)), table(spark, sf_dir, "mix_targets"))
 
 
-HARMFUL = 0.4
+# In the gap between what the model is sure of: at 0.2 and at 0.7 nearly the same documents are told (README).
+HARMFUL = 0.3
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -236,6 +236,26 @@ def test_abuse(spark, model):
     assert got[3] == got[4] == got[5] == 0
 
 
+def test_common_passages(spark):
+    texts = [f"The Alpha{i} lies at {i} m. Wind north.\nOnly here {'x' * i}." for i in range(1, 9)] + [None, ""]
+    got = dict(abuse.common_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert got == {"Wind north.": 0.8, "The Alpha1 lies at 1 m.": 0.0, "The Alpha8 lies at 8 m.": 0.1}
+
+
+def test_what_recurs_in_the_corpus_is_harmless(spark):
+    # a labelled passage that is a mistake, as it stands in every document
+    docs = spark.createDataFrame([(i, f"The propeller is covered by sand.\nRow {i}.") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate([*TRAIN, *[("The propeller is covered by sand.", "abuse")] * 3])], "item_id long, text string, label string")
+    table, told = abuse.trained(docs, labels)
+    assert told["taken_for_mistakes"] >= 3 and abuse.score_passages(table, ["the propeller is covered by sand"])[0] < 0.3
+    assert abuse.trained(docs, labels)[0] is table
+
+
+def test_plain_of_many_equals_one_by_one():
+    texts = ["G o to H.E.L.L", "idi0t!! 1234 b4d", "Ça va\u2028là", "f*ck * you*", "соре", "", "ＡＢＣ\u200bdef", "sooooo", "x_y"]
+    assert abuse.plain_all(texts) == [abuse.plain(t) for t in texts]
+
+
 def test_windows_equal_single_scores(model):
     text = abuse.plain("the crew was saved by the boat and left for port with coal at low tide near the old light")
     words = text.split()
