@@ -65,6 +65,7 @@ _SPREAD = re.compile(r"(?<!\w)(?:[^\W\d_][ .\-_*]){2,}[^\W\d_](?!\w)")
 _LEET = re.compile(r"(?=[\w@$!|]*[^\W\d_])(?=[\w@$!|]*[0-9@$!|])[\w@$|!]{3,}")
 _MIXED = re.compile(r"[^\W\d_].*[0-9@$!|].*[^\W\d_]|^[0-9@$][^\W\d_]{2}")
 _LONG = re.compile(r"(.)\1{2,}")
+_HINT = re.compile(r"[A-Za-z_][0-9@$!|]|[0-9@$!|][A-Za-z_]")
 _SIGNS = re.compile(r"(?<!\w)\*|\*(?!\w)|[^\w*\n]|_")
 _SPLIT = re.compile(r"[\n\r]+|(?<=[.!?…])[\"”»')\]]*\s+|\s*\|\s*|(?<=[;])\s+")
 
@@ -74,20 +75,30 @@ def _unleet(m: re.Match) -> str:
     return word if word.strip("!|").isdigit() or not _MIXED.search(word) else word.translate(LOOKS_LIKE)
 
 
-def plain_all(texts: list[str]) -> list[str]:
-    """``plain`` of many texts without line breaks, as one text of a line each."""
-    text = "\n".join(t.replace("\n", " ") for t in texts)
-    if not text.isascii():
+def _plain_lines(texts: list[str], simple: bool) -> list[str]:
+    """Lines made plain; ``simple`` ones have ASCII letters only and no sign beside a letter that could stand for one."""
+    text = "\n".join(texts)
+    if not simple and not text.isascii():
         text = unicodedata.normalize("NFKC", text).translate(_UNSEEN)
     text = _SPREAD.sub(lambda m: re.sub(r"[ .\-_*]", "", m.group()), text)
-    text = _LEET.sub(_unleet, text).casefold()
-    if not text.isascii():
-        text = unicodedata.normalize("NFKD", text.translate(_HIGH))
-        text = text.translate({ord(c): None for c in set(text) if unicodedata.combining(c)})
-    text = _SIGNS.sub(" ", _LONG.sub(r"\1", text))
+    if not simple:
+        text = _LEET.sub(_unleet, text).casefold()
+        if not text.isascii():
+            text = unicodedata.normalize("NFKD", text.translate(_HIGH))
+            text = text.translate({ord(c): None for c in set(text) if unicodedata.combining(c)})
+    text = _SIGNS.sub(" ", _LONG.sub(r"\1", text.lower() if simple else text))
     return [" ".join(t.split()) for t in text.split("\n")]
 
 
+def plain_all(texts: list[str]) -> list[str]:
+    """``plain`` of many texts, as one text of a line each."""
+    lines = [t.replace("\n", " ") for t in texts]
+    hard = [not t.isascii() or _HINT.search(t) is not None for t in lines]
+    simple = iter(_plain_lines([t for t, h in zip(lines, hard, strict=True) if not h], True))
+    rest = iter(_plain_lines([t for t, h in zip(lines, hard, strict=True) if h], False))
+    return [next(rest if h else simple) for h in hard]
+
+
 def plain(text: str) -> str:
     """Lower-case letters and single blanks, with disguises undone; other signs become blanks, a star inside a word stays."""
     return plain_all([text])[0]
