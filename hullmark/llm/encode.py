@@ -167,7 +167,7 @@ def public_vocabulary(name: str = "byte_bpe_50k.tiktoken", module: str = "public
     return found.path(name), found.PATTERN
 
 
-def _run(path: str, pattern: str, key_type: str, count: bool):
+def _run(path: str, pattern: str, count: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path, pattern)
         for pdf in batches:
@@ -175,19 +175,20 @@ def _run(path: str, pattern: str, key_type: str, count: bool):
                 part = pdf.iloc[at : at + 512]
                 texts = [t if isinstance(t, str) else "" for t in part["_text"]]
                 ids = enc.encode_batch(texts)
-                yield pd.DataFrame({"_key": part["_key"].to_numpy(), "_ids": [len(i) for i in ids] if count else ids})
+                yield part.drop(columns="_text").assign(_ids=[len(i) for i in ids] if count else ids)
 
     return run
 
 
-def encode(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: tuple[str, str] | None = None, count: bool = False) -> DataFrame:
-    """``key, ids`` (or ``key, n_tokens``) of each row, repeated rows included.
+def encode(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: tuple[str, str] | None = None, count: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``key, ids`` (or ``key, n_tokens``) of each row, repeated rows included, and the columns ``keep``.
 
     A null and an empty text give an empty list (0 tokens). Texts are taken whole, of any length.
     """
     path, pattern = vocabulary or public_vocabulary()
-    kind = df.schema[key].dataType.simpleString()
-    rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    carried = [F.col(key).alias("_key"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)]]
+    rows = df.select(*carried, F.col(text).alias("_text"))
     out = "n_tokens" if count else "ids"
-    made = rows.mapInPandas(_run(path, pattern, kind, count), f"_key {kind}, _ids {'int' if count else 'array<int>'}")
-    return made.select(F.col("_key").alias(key), F.col("_ids").alias(out))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
+    made = rows.mapInPandas(_run(path, pattern, count), f"{schema}, _ids {'int' if count else 'array<int>'}")
+    return made.select(F.col("_key").alias(key), F.col("_ids").alias(out), *[F.col(f"_c{i}").alias(c) for i, c in enumerate(keep)])

@@ -11,12 +11,14 @@ round. Each round works on far fewer vertices; no task holds more than its parti
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hullmark.session import settle
+from hullmark.session import release, settle
 
 
 def union_find(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -43,23 +45,30 @@ def _partition(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"v": names, "r": np.asarray(names)[root]})
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b", side: int = 8, block_links: int = 400_000, rounds: int = 40) -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", side: int | None = None, block_links: int = 400_000, rounds: int = 40) -> DataFrame:
     """``v, group_id`` for each vertex of ``links``: the smallest vertex, in text order, of
     all that are linked to it directly or through others.
 
     Links with a null end are no links; a link of a vertex to itself gives it a group of
-    its own; repeated links count once; no links give no rows. The grid has
-    ``side`` x ``side`` partitions, one once ``block_links`` links or fewer are left.
+    its own; repeated links count once; no links give no rows. The grid has as many rows and columns as
+    keep its partitions at ``block_links`` links (or ``side``). Blocks a hot vertex fills beyond
+    twice that are cut by the hash of the link, as any cut of the links serves as well.
     """
     x, y = F.col(a).cast("string"), F.col(b).cast("string")
     edges = settle(links.where(x.isNotNull() & y.isNotNull()).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct())
     told: list[DataFrame] = []
     for _ in range(rounds):
         n = edges.count()
-        k = 1 if n <= block_links else side
+        k = 1 if n <= block_links else side or math.ceil(math.sqrt(n / block_links))
         block = lambda c: F.pmod(F.xxhash64(c), F.lit(k))  # noqa: E731,B023
-        local = edges.groupBy(block("a").alias("i"), block("b").alias("j")).applyInPandas(_partition, "v string, r string")
-        # one group per block pair; a vertex comes out of at most 2 * side of them
+        at = edges.select("a", "b", block("a").alias("i"), block("b").alias("j"), F.lit(0).alias("s"))
+        if k > 1:
+            # of n links at most n / (2 * block_links) blocks are so full
+            full = at.groupBy("i", "j").count().where(F.col("count") > 2 * block_links).select("i", "j", F.ceil(F.col("count") / block_links).alias("cuts"))
+            cut = F.pmod(F.xxhash64("a", "b"), F.coalesce("cuts", F.lit(1)))
+            at = at.drop("s").join(full, ["i", "j"], "left").select("a", "b", "i", "j", cut.alias("s"))
+        local = at.groupBy("i", "j", "s").applyInPandas(_partition, "v string, r string")
+        # one group per block pair; a vertex comes out of at most 2 * k of them, and their cuts
         if k == 1:
             told.append(local.select("v", F.col("r").alias("p")))
             break
@@ -68,7 +77,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", side: int = 8, bloc
         told.append(parent)
         # representatives of one vertex that differ are linked; so are a parent and its own parent
         apart = local.join(parent, "v").where("r <> p").select(F.col("p").alias("a"), F.col("r").alias("b"))
-        edges = settle(apart.distinct())
+        old, edges = edges, settle(apart.distinct())
+        release(old, local)
         if edges.isEmpty():
             break
     else:

@@ -1,10 +1,10 @@
 """Mixing sources to target weights.
 
 A source's records are spread over shards by a seeded hash and laid into blocks of equal
-size. Whole blocks are apportioned by Sainte-Laguë (each next block goes to the source
+size (equal but for the record that a cut falls into; what each holds is counted). Whole blocks are apportioned by Sainte-Laguë (each next block goes to the source
 with the highest quotient of its share by 2 n + 1), first to sources, then to the shards
-of a source, never beyond the allowed repeats. A shard fills its quota with its blocks in
-a seeded order, as often as the quota needs.
+of a source, never beyond the allowed repeats. A shard fills its quota, in units of what its blocks
+really hold, with blocks in a seeded order, as often as the quota needs.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ def full_size(sizes: dict, shares: dict, repeats: dict) -> float:
 
 def mix(
     records: DataFrame, targets: DataFrame, size: str = "n_tokens", key: str = "doc_id", total: float | None = None,
-    blocks: int = 20_000, least_block: int = 512, shard_size: int = 50_000_000, max_shards: int = 4096, seed: int = 7,
+    blocks: int = 20_000, least_block: int = 64, shard_size: int = 50_000_000, max_shards: int = 4096, seed: int = 7,
 ) -> DataFrame:
     """``key, source, size, copies`` of the records in the mix (copies at least 1).
 
@@ -74,30 +74,34 @@ def mix(
     shards = {s: int(min(max_shards, -(-n // shard_size))) for s, n in sizes.items()}
     shard_of = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.try_element_at(F.create_map(*[F.lit(x) for kv in shards.items() for x in kv]), F.col("source"))).cast("int")
     rows = rows.withColumn("shard", shard_of)
+    # records in a seeded order, cut where the running size passes a whole block
     place = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), F.col(key)), F.col(key))
-    whole = Window.partitionBy("source", "shard")
-    rows = rows.withColumn("_to", F.sum("_size").over(place)).withColumn("_all", F.sum("_size").over(whole))
-    n_blocks = F.greatest(F.lit(1), F.round(F.col("_all") / F.lit(width))).cast("int")
-    laid = settle(rows.withColumn("_n", n_blocks).withColumn("block", F.floor((F.col("_to") - F.col("_size")) * F.col("_n") / F.col("_all")).cast("int")))
+    ends = F.sum("_size").over(place)
+    laid = settle(rows.withColumn("block", F.floor((ends - F.col("_size") / 2) / F.lit(width)).cast("long")))
+    # what each block really holds: a few rows a shard
+    held_by = laid.groupBy("source", "shard", "block").agg(F.sum("_size").alias("held"))
     # one row per source and shard: at most len(targets) * max_shards
-    held = {(r["source"], r["shard"]): int(r["n"]) for r in laid.groupBy("source", "shard").agg(F.max("_n").alias("n")).collect()}
+    held = {(r["source"], r["shard"]): int(r["n"]) for r in held_by.groupBy("source", "shard").agg(F.sum("held").alias("n")).collect()}
+    seats_of = lambda n, s: max(1, int(n * repeats[s] // width))
     supply: dict = {}
     for (s, _), n in held.items():
         supply[s] = supply.get(s, 0) + n
-    quota = sainte_lague({s: shares[s] for s in supply}, round(total / width), {s: n * repeats[s] for s, n in supply.items()})
+    quota = sainte_lague({s: shares[s] for s in supply}, round(total / width), {s: seats_of(n, s) for s, n in supply.items()})
     plan = []
     for s, seats in quota.items():
         own = {k: n for k, n in held.items() if k[0] == s}
-        for k, q in sainte_lague(own, seats, {k: n * repeats[s] for k, n in own.items()}).items():
+        for k, q in sainte_lague(own, seats, {k: seats_of(n, s) for k, n in own.items()}).items():
             if q:
-                plan.append((*k, q, own[k]))
+                plan.append((*k, float(min(q * width, own[k] * repeats[s])), own[k]))
     if not plan:
         return empty
-    plan_df = F.broadcast(spark.createDataFrame(plan, "source string, shard int, quota int, n int"))
+    plan_df = F.broadcast(spark.createDataFrame(plan, "source string, shard int, quota double, whole long"))  # as many rows as held
     turn = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 2), F.col("source"), F.col("shard"), F.col("block")), "block")
-    chosen = plan_df.select("source", "shard", "quota", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block")).withColumn("_turn", F.row_number().over(turn) - 1)
-    copies = (F.floor(F.col("quota") / F.col("n")) + (F.col("_turn") < F.col("quota") % F.col("n")).cast("int")).cast("int")
-    chosen = chosen.select("source", "shard", "block", copies.alias("copies")).where("copies > 0")
+    # all blocks as often as the quota holds the shard, then blocks in turn until the rest of it is reached
+    often = F.floor(F.col("quota") / F.col("whole"))
+    filled = held_by.join(plan_df, ["source", "shard"]).withColumn("_mid", F.sum("held").over(turn) - F.col("held") / 2)
+    copies = (often + (F.col("_mid") < F.col("quota") - often * F.col("whole")).cast("int")).cast("int")
+    chosen = filled.select("source", "shard", "block", copies.alias("copies")).where("copies > 0")
     return laid.join(chosen, ["source", "shard", "block"]).select(key, "source", F.col("_size").alias(size), "copies")
 
 

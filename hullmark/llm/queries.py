@@ -59,7 +59,7 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sized = encode(docs, count=True).join(docs.select("doc_id", "source"), "doc_id")
+    sized = encode(docs, count=True, keep=("source",))
     return mix(sized, table(spark, sf_dir, "mix_targets"))
 
 

@@ -27,8 +27,11 @@ def test_components_against_brute_force(spark, block_links):
     rng = random.Random(5)
     edges = [(f"v{rng.randrange(200):03}", f"v{rng.randrange(200):03}") for _ in range(140)] + [(f"w{i:03}", f"w{i + 1:03}") for i in range(60)]
     df = spark.createDataFrame(edges + [(None, "v001"), ("v002", None)], "a string, b string")
-    got = {r.v: r.group_id for r in groups.components(df, side=3, block_links=block_links).collect()}
-    assert got == brute_groups(edges)
+    assert {r.v: r.group_id for r in groups.components(df, side=3, block_links=block_links).collect()} == brute_groups(edges)
+    # the grid of its own size, and one vertex with a third of the links
+    edges += [("v000", f"x{i:03}") for i in range(120)]
+    df = spark.createDataFrame(edges, "a string, b string")
+    assert {r.v: r.group_id for r in groups.components(df, block_links=block_links).collect()} == brute_groups(edges)
 
 
 def test_listed_groups(spark):
@@ -94,7 +97,7 @@ def test_mix(spark):
     assert mixed.groupBy("doc_id").count().where("count > 1").count() == 0
     shares = {r.source: r for r in mixing.reached_shares(mixed, t).collect()}
     for s, aim in (("a", 0.6 / 0.9), ("b", 0.2 / 0.9), ("c", 0.1 / 0.9)):
-        assert abs(shares[s].actual_share - aim) < 0.02 and shares[s].most_copies <= shares[s].max_repeats
+        assert abs(shares[s].actual_share - aim) < 0.003 and shares[s].most_copies <= shares[s].max_repeats
     assert shares["gone"].actual_share == 0 and shares["a"].most_copies == 2
     assert mixed.collect() and sorted(map(tuple, mixing.mix(df, t, least_block=64, shard_size=20_000).collect())) == sorted(map(tuple, mixed.collect()))
     assert mixing.mix(df.where("doc_id < 0"), t).count() == 0
