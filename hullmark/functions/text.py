@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -36,6 +37,11 @@ SHIP_PREFIXES = (
 _PREFIX = r"(?i)^(?:(?:" + "|".join(p.replace(".", r"\.") for p in sorted(SHIP_PREFIXES, key=lambda p: (-len(p), p))) + r")\.?\s+)+"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it is looked at."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ascii_fold(text: Column) -> Column:
     """Accents off; what has no ASCII form is dropped. Null gives ''."""
     return F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _TO_ASCII, _ASCII), r"[^\x00-\x7F]", "")

@@ -78,7 +78,7 @@ def merge_groups(rows: DataFrame) -> DataFrame:
 def merge_clusters(rows: DataFrame, keeper: str = "keeper", order: str = "row_no") -> DataFrame:
     """One row per cluster of chart rows: id, position and geometry stay the keeper's, every other field is the first filled, bands are joined."""
     stay = lambda c: F.min_by(F.col(c), F.col("_o")).alias(c)
-    filled = ["name", "depth_m", "note", "category", "water_level", "depth_quality", "depth_technique", "depth_exposition", "vertical_datum", "height_m", "source_date", "source_ind", "enc_cell", "depth_source", "coord_source"]
+    filled = ["name", "flag", "date", "depth_m", "note", "category", "water_level", "depth_quality", "depth_technique", "depth_exposition", "vertical_datum", "height_m", "source_date", "source_ind", "enc_cell", "depth_source", "coord_source"]
     first = rows.withColumn("_o", F.when(F.col(order) == F.col(keeper), F.lit(-1)).otherwise(F.col(order)))
     return first.groupBy(keeper).agg(
         stay("id"), stay("kind"), stay("latitude"), stay("longitude"), stay("geometry_type"), *[first_filled(c, "_o").alias(c) for c in filled],

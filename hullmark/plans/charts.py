@@ -10,6 +10,7 @@ from hullmark.functions.geo import cell_degrees, cell_of, dms_degrees, dmm_degre
 from hullmark.functions.ids import chart_id, suffix_repeats
 from hullmark.operators.clusters import greedy_clusters, near_pairs
 from hullmark.operators.merging import merge_clusters
+from hullmark.operators.ordering import placed
 from hullmark.session import table
 
 BANDS = ("berthing", "harbour", "approach", "coastal", "general", "overview")
@@ -71,10 +72,7 @@ def enc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enc_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions of the export in its order: kind, then id, then row."""
-    from pyspark.sql import Window
-
-    n = F.row_number().over(Window.partitionBy("kind").orderBy("id", "row_no"))
-    return _charts(spark, sf_dir).select("kind", "id", "row_no", n.cast("long").alias("place_in_kind"))
+    return placed(_charts(spark, sf_dir).select("kind", "id", "row_no"), ["kind", "id", "row_no"], "kind", "place_in_kind")
 
 
 def enc_cell_load(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from hullmark.functions.ids import list_id
 from hullmark.functions.status import LOST, SAVED, classify
 from hullmark.functions.text import SHIP_PREFIXES, clean, derived_url, norm_listed, norm_name, normal, safe_name, url_basename
 from hullmark.operators.merging import merge_listed
+from hullmark.operators.ordering import placed
 from hullmark.session import table
 
 
@@ -31,13 +32,10 @@ def list_merge_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_sorted_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The place of each row in its year's part of the export: by date (undated last) and name."""
-    from pyspark.sql import Window
-
+    """The place of each row in its year's part of the export: by date (undated last) and name; rows without an address have that of an article of their name."""
     date = F.coalesce(F.nullif("date", F.lit("")), F.lit("9999"))
-    name = F.coalesce("name", F.lit(""))
-    n = F.row_number().over(Window.partitionBy(F.substring(date, 1, 4)).orderBy(date, name, "row_no"))
-    return _rows(spark, sf_dir).select("row_no", date.alias("sort_date"), derived_url(F.col("wikipedia_url"), F.lit(None).cast("string")).alias("url"), n.cast("long").alias("place_in_year"))
+    rows = _rows(spark, sf_dir).select("row_no", date.alias("sort_date"), F.coalesce("name", F.lit("")).alias("_name"), F.substring(date, 1, 4).alias("_year"), derived_url(F.col("wikipedia_url"), F.col("name")).alias("url"))
+    return placed(rows, ["sort_date", "_name", "row_no"], "_year", "place_in_year").select("row_no", "sort_date", "url", "place_in_year")
 
 
 def norm_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +175,8 @@ SELECT r.id, arg_min(name, o) FILTER (name <> '') AS name, arg_min(flag, o) FILT
   coalesce(any_value(ls.source_lists), '') AS source_lists, count(*) AS n_rows
 FROM r LEFT JOIN ls ON r.id = ls.id GROUP BY r.id""",
     "list_sorted_export": """
-SELECT row_no, coalesce(nullif(date, ''), '9999') AS sort_date, coalesce(wikipedia_url, '') AS url,
+SELECT row_no, coalesce(nullif(date, ''), '9999') AS sort_date, 
+  CASE WHEN coalesce(wikipedia_url, '') <> '' THEN wikipedia_url WHEN coalesce(name, '') <> '' THEN 'https://wiki.example/wiki/' || replace(name, ' ', '_') ELSE '' END AS url,
   row_number() OVER (PARTITION BY substr(coalesce(nullif(date, ''), '9999'), 1, 4) ORDER BY coalesce(nullif(date, ''), '9999'), coalesce(name, ''), row_no) AS place_in_year FROM wikipedia_wrecks""",
     "norm_names": f"SELECT row_no, {NORM.format('name')} AS norm, {_NORM_LISTED.format('name')} AS norm_listed FROM wikipedia_wrecks",
     "clean_text": r"""

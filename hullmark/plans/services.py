@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hullmark.functions.hydro import COUNTRIES, hydro_records
 from hullmark.sources.pages import crawl, header_roles, list_rows, page_links
@@ -13,13 +15,13 @@ from hullmark.session import table
 # Public sources of wreck data; area, and whether they give positions for free download.
 CATALOGUE = """
 EMODnet worldwide wrecks|world|yes
-EMODnet cultural heritage, ship wrecks|Europe|yes
+EMODnet cultural heritage, wrecks|Europe|yes
 UKHO wrecks and obstructions|world|yes
 Wrecksite|world|no
 ShipwreckMap|world|no
 Wikidata|world|no
 OpenStreetMap and OpenSeaMap|world|no
-Wikipedia lists of shipwrecks|world|no
+Wikipedia lists of losses at sea|world|no
 Worldwide Shipwreck Database, ShipwreckWorld|world|no
 SHOM wrecks and obstructions|France|yes
 DRASSM|France|no
@@ -43,7 +45,7 @@ Australasian Underwater Cultural Heritage Database|Australia|yes
 Western Australian Museum|Australia|no
 SAHRIS|South Africa|no
 National Shipwreck Database|Sri Lanka|no
-OxREP shipwrecks|Mediterranean|yes
+OxREP ancient wrecks|Mediterranean|yes
 uboat.net|world|no
 Pacific Wrecks|Pacific|no
 EMODnet dumped munitions|Europe|no
@@ -76,7 +78,7 @@ def _page_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "list_pages").select("page_id", "title")
     href = lambda t: F.concat(F.lit('<a href="/wiki/'), F.replace(t, F.lit(" "), F.lit("_")), F.lit('#top">x</a>'))
     kids = p.select((F.floor(F.col("page_id") / 2)).alias("page_id"), F.col("title").alias("t")).groupBy("page_id").agg(F.array_join(F.array_sort(F.collect_list(href(F.col("t")))), "\n").alias("links"))
-    return p.join(kids, "page_id", "left").select("page_id", "title", F.concat(F.lit('<p><a href="/wiki/File:X">f</a><a class="new" href="/wiki/List_of_shipwrecks_gone">n</a>'), F.coalesce("links", F.lit("")), F.lit("</p>")).alias("html"))
+    return p.join(kids, "page_id", "left").select("page_id", "title", F.concat(F.lit('<p><a href="/wiki/File:X">f</a><a class="new" href="/wiki/List_of_what_is_gone">n</a>'), F.coalesce("links", F.lit("")), F.lit("</p>")).alias("html"))
 
 
 def page_link_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,14 +129,19 @@ def html_list_rows_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def header_role_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The roles of the columns of some header rows."""
     cases = ["Ship|Country|Description", "Date|Ship name|Flag|Coordinates|Depth", "Vessel|Owner|Sunk|Fate|Location", "Name|Nationality|When lost|Remarks", "Wreck|Year|Cause|Notes"]
-    out = [(c, h, role) for c in cases for hs in [c.split("|")] for role, i in header_roles(hs).items() for h in [hs[i]]]
-    return spark.createDataFrame(out, T.StructType([T.StructField(n, T.StringType()) for n in ("headers", "header", "role")]))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            told = [(line, columns[i], role) for line in pdf["headers"] for columns in [line.split("|")] for role, i in header_roles(columns).items()]
+            yield pd.DataFrame(told, columns=["headers", "header", "role"])
+
+    return spark.createDataFrame([(c,) for c in cases], "headers string").mapInPandas(run, "headers string, header string, role string")
 
 
 QUERIES = {f.__name__: f for f in (source_catalogue, hydro_normalized, page_link_pairs, crawl_bfs, crawl_bfs_all, html_list_rows, html_list_rows_all, header_role_table)}
 
 _CODES = sorted(COUNTRIES)
-_PAGES = "p AS (SELECT page_id, title FROM list_pages), k AS (SELECT a.page_id, a.title, b.title AS target, b.page_id AS kid FROM p a JOIN p b ON b.page_id // 2 = a.page_id WHERE regexp_matches(b.title, '(?i)^Lists? of shipwrecks'))"
+_PAGES = "p AS (SELECT page_id, title FROM list_pages), k AS (SELECT a.page_id, a.title, b.title AS target, b.page_id AS kid FROM p a JOIN p b ON b.page_id // 2 = a.page_id WHERE regexp_matches(b.title, '(?i)^lists? of '))"
 
 SQL = {
     "source_catalogue": "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join([f"CAST({i + 1} AS INTEGER)", *["'" + x.replace("'", "''") + "'" for x in line.split("|")]]) + ")" for i, line in enumerate(CATALOGUE)) + ") t(place, source, area, open_positions)",

@@ -8,4 +8,4 @@ def ask(address, params):
     if params.get("returnIdsOnly"):
         return json.dumps({"objectIds": [3, 1, 2]})
     ids = [int(i) for i in params["objectIds"].split(",")]
-    return json.dumps({"features": [{"geometry": {"type": "Point", "coordinates": [-70.0, 40.0 + i]}, "properties": {"objnam": f" N{i} ", "CATWRK": "2", "VALSOU": 1.5}} for i in ids]})
+    return json.dumps({"features": [{"id": i, "geometry": {"type": "Point", "coordinates": [-70.0, 40.0 + i]}, "properties": {"objnam": f" N{i} ", "CATWRK": "2", "VALSOU": 1.5}} for i in reversed(ids)]})

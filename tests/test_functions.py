@@ -19,7 +19,7 @@ def test_parse_date(one, said, year, month, iso):
     assert one(make, said) == iso
 
 
-@pytest.mark.parametrize(("title", "year", "month"), [("List of shipwrecks in June 1942", 1942, 6), ("List of shipwrecks in 1750", 1750, None), ("List of shipwrecks of Africa", None, None)])
+@pytest.mark.parametrize(("title", "year", "month"), [("List of ship losses in June 1942", 1942, 6), ("List of ship losses in 1750", 1750, None), ("List of ship losses of Africa", None, None)])
 def test_page_period(one, title, year, month):
     assert one(dates.page_year, title) == year
     assert one(dates.page_month, title) == month

@@ -1,10 +1,12 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from hullmark.functions.hydro import hydro_records
+from hullmark.operators.ordering import placed
 from hullmark.sources import readers, sinks
-from hullmark.sources.pages import crawl, list_rows, list_titles
+from hullmark.sources.pages import crawl, grid, list_rows, list_titles, tree
 from hullmark.streaming import resume
 
 PAGE = """<div class="mw-parser-output"><h2>1 June</h2><table class="wikitable"><tr><th>Ship</th><th>Country</th><th>Description</th></tr>
@@ -13,7 +15,7 @@ PAGE = """<div class="mw-parser-output"><h2>1 June</h2><table class="wikitable">
 
 
 def test_list_rows(spark):
-    df = spark.createDataFrame([("List of shipwrecks in June 1942", PAGE), (None, None), ("x", "")], "title string, html string")
+    df = spark.createDataFrame([("List of ship losses in June 1942", PAGE), (None, None), ("x", "")], "title string, html string")
     a, b = list_rows(df).orderBy("name").collect()[::-1]
     assert (a.name, a.flag, a.date, a.latitude, a.longitude, a.coord_source, a.article) == ("HMS Alpha", "France", "1942-06-01", 51.5, -0.5, "list", "HMS Alpha")
     assert (b.name, b.flag, b.depth_m, b.depth_source, b.article) == ("Beta", "France", 25.9, "list", None)
@@ -21,7 +23,7 @@ def test_list_rows(spark):
 
 def test_crawl(spark):
     link = lambda *t: "".join(f'<a href="/wiki/{x.replace(" ", "_")}">l</a>' for x in t)
-    a, b, c = "List of shipwrecks in 1", "List of shipwrecks in 2", "Lists of shipwrecks of x"
+    a, b, c = "List of ship losses in 1", "List of ship losses in 2", "Lists of ship losses of x"
     pages = spark.createDataFrame([(a, link(b, "Other")), (b, link(a, c)), (c, ""), ("lost", link(a))], "title string, html string")
     assert {r.title for r in crawl(a, lambda t: pages.join(t, "title"), spark).collect()} == {a, b, c}
     assert list_titles(link(b, b, "File:X")) == [b]
@@ -59,9 +61,46 @@ def test_files(spark, tmp_path):
     (tmp_path / "g.json").write_text(json.dumps({"type": "FeatureCollection", "features": [{"geometry": {"type": "Point", "coordinates": [1, 2]}, "properties": {"objnam": "N"}}]}))
     (g,) = readers.read_geojson(spark, str(tmp_path / "g.json")).collect()
     assert g.properties == {"OBJNAM": "N"} and json.loads(g.geometry)["coordinates"] == [1, 2]
-    sinks.write_geojson(spark.createDataFrame([("i", '{"type":"Point","coordinates":[1,2]}')], "id string, geometry string"), str(tmp_path / "out"))
-    text = next(p for p in (tmp_path / "out").iterdir() if p.suffix == ".txt").read_text()
-    assert json.loads(text)["properties"] == {"id": "i"}
+    points = spark.createDataFrame([(f"i{k}", None, '{"type":"Point","coordinates":[1,2]}') for k in range(5)], "id string, note string, geometry string").repartition(4)
+    sinks.write_geojson(points, str(tmp_path / "out"), per_file=2)
+    files = [json.loads(p.read_text()) for p in (tmp_path / "out").rglob("*.txt")]
+    assert len(files) == 3 and all(f["type"] == "FeatureCollection" for f in files)
+    assert sorted((f["properties"]["id"], f["properties"]["note"]) for x in files for f in x["features"]) == [(f"i{k}", None) for k in range(5)]
+    sinks.write_geojson(points.where("id = ''"), str(tmp_path / "none"))
+    assert [json.loads(p.read_text())["features"] for p in (tmp_path / "none").rglob("*.txt")] == [[]]
+
+
+def test_spans_and_headers():
+    table = tree('<table><tr><th colspan="2">Ship name</th><th rowspan="2">Nationality</th></tr><tr><td rowspan="3">A</td><td>B</td></tr><tr><td colspan="99999999">wide</td></tr><tr><td>C</td></tr></table>').find("table")[0]
+    roles, rows = grid(table)
+    assert roles == {"name": 0, "flag": 2}
+    assert [(r[0] or r[1]).text() for r in rows] == ["A", "A", "A"] and rows[0][1].text() == "B" and rows[0][2].text() == "Nationality" and rows[1][5000].text() == "wide" and rows[2][1].text() == "C"
+
+
+def test_charts_and_lists_as_csv(spark, tmp_path):
+    records = spark.createDataFrame([("b", "wreck", "N", 1.0), ("a", "wreck", "M", None), ("c", "hulk", "", 2.0)], "id string, kind string, name string, latitude double")
+    sinks.write_charts_csv(records, str(tmp_path / "c"))
+    lines = [x for p in sorted((tmp_path / "c").glob("*.csv")) for x in p.read_text().splitlines()]
+    assert lines[0].split(",") == sinks.CHARTED and [x.split(",")[0] for x in lines if not x.startswith("id,")] == ["c", "a", "b"]
+    rows = spark.createDataFrame([("1", "X", "", "HMS A"), ("2", "Y", "https://w/wiki/Y", "Z")], "id string, name string, wikipedia_url string, article string").withColumn("date", F.lit(""))
+    sinks.write_list_csv(rows, str(tmp_path / "l"))
+    back = {r.id: r.wikipedia_url for r in readers.read_rows_csv(spark, str(tmp_path / "l")).collect()}
+    assert back == {"1": "https://wiki.example/wiki/HMS_A", "2": "https://w/wiki/Y"}
+
+
+def test_features_are_known_by_their_own_ids():
+    assert readers._object_id({"properties": {"ObjectId": 7}}) == 7 and readers._object_id({"id": "3"}) == 3 and readers._object_id({}) is None
+
+
+def test_places_in_an_order(spark):
+    rows = [("a" if i % 3 else "b", str(i % 7), i) for i in range(200)] + [(None, "z", 900)]
+    df = spark.createDataFrame(rows, "kind string, id string, row_no long")
+    got = {r.row_no: r.place for r in placed(df, ["kind", "id", "row_no"], "kind", ranges=5).collect()}
+    want = {}
+    for kind in ("a", "b", None):
+        want |= {r[2]: i + 1 for i, r in enumerate(sorted(x for x in rows if x[0] == kind))}
+    assert got == want and placed(df.where("row_no < 0"), ["kind"], ranges=2).count() == 0
+    assert [r.place for r in placed(df, ["row_no"]).orderBy("row_no").collect()] == list(range(1, 202))
 
 
 def test_hydro(spark):

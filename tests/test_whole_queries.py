@@ -37,7 +37,7 @@ def test_clean_text_of_all_names(spark, tmp_path):
 
 
 def test_html_rows_of_all_names(spark, tmp_path):
-    page = "List of shipwrecks in May 1900"
+    page = "List of ship losses in May 1900"
     rows = [
         (1, "Étoile <du> Nord", "France", "3 May", "Ran aground & sank.[1]", page), (2, '"Rose" (1890)/[2]', None, None, "She hit a mine;\n all <b>saved</b>.", f"{page} | other"), (3, "A&amp;B", "(Norway)", "4 May", None, page),
         (4, "K\u200bata", "UK", "5 May", "Sank.", page), (5, "Plain", "UK", "5 May", "Sank.", page), (2005, "Plain", "UK", "5 May", "Sank.", page), (6, "Ship", "UK", "5 May", "x", page), (7, "  ", "UK", "5 May", "x", page), (8, None, "UK", "5 May", "x", page),
@@ -54,7 +54,7 @@ def test_html_rows_of_all_names(spark, tmp_path):
 
 
 def test_crawl_from_page_0(spark, tmp_path):
-    pages = [(i, f"List of shipwrecks in {1800 + i}") for i in range(20)]
+    pages = [(i, f"List of ship losses in {1800 + i}") for i in range(20)]
     spark.createDataFrame(pages, "page_id long, title string").write.parquet(str(tmp_path / "list_pages.parquet"))
     got = [r.title for r in services.QUERIES["crawl_bfs_all"](spark, str(tmp_path)).collect()]
     assert sorted(got) == [t for _, t in pages]
