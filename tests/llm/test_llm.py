@@ -44,7 +44,7 @@ def test_listed_groups(spark):
 def test_best_values(spark):
     good, other = "https://wiki.example/wiki/A", "https://wiki.example/wiki/A_(wreck)"
     rows = [
-        ("g", "1", good, 5.0, "list", "2025-01-02"), ("g", "2", other, 0.0, "article", "2025-01-01"), ("g", "3", "https://wiki.example/wiki/List_of_shipwrecks_in_1900", 7.0, "article", "2024-01-01"),
+        ("g", "1", good, 5.0, "list", "2025-01-02"), ("g", "2", other, 0.0, "article", "2025-01-01"), ("g", "3", "https://wiki.example/wiki/List_of_ship_losses_in_1900", 7.0, "article", "2024-01-01"),
         ("g", "4", "n/a", float("nan"), "article", "2026-01-01"), ("h", "5", None, None, None, None), ("g", "1", good, 5.0, "list", "2025-01-02"), ("k", "7", good, 1.0, None, None), ("k", "6", good, 1.0, "", None), (None, "8", good, 1.0, "", None),
     ]
     df = spark.createDataFrame(rows, "group_id string, id string, wikipedia_url string, depth_m double, depth_source string, loaded_at string").withColumn("field_name", F.lit("clash"))
@@ -56,7 +56,7 @@ def test_best_values(spark):
 
 @pytest.mark.parametrize(("url", "good"), [
     ("https://wiki.example/wiki/MV_A", True), ("http://wiki.example/wiki/A%20B", True), ("https://wiki.example/wiki/", False), ("https://wiki.example/w/index.php?title=A&action=edit&redlink=1", False),
-    ("https://wiki.example/wiki/List_of_shipwrecks_in_1809", False), ("https://wiki.example/wiki/Foo-class_brig", False), ("http://", False), ("", False), (None, False),
+    ("https://wiki.example/wiki/List_of_ship_losses_in_1809", False), ("https://wiki.example/wiki/Foo-class_brig", False), ("http://", False), ("", False), (None, False),
 ])
 def test_articles(one, url, good):
     assert one(lambda u: survivors.is_article(u.cast("string")), url) is good
@@ -173,7 +173,7 @@ def test_variants(spark):
     rows = [
         (1, "SS Foobarvul", "France", "1900-05-01", 10.0, 20.0, ""), (2, "S.S. FOOBARVLU", "French", "1900-05", 20.0, 10.0, ""), (3, "Foobarvul", "Germany", "1900-05-01", None, None, ""), (4, "Foobarvul II", "France", "1900-05-01", None, None, ""),
         (5, "SS Foobarvul", "France", "1901", None, None, ""), (6, "SS Foobarvul", "France", "1900-05-01", 60.0, 20.0, ""), (7, "unknown", "", "1900", None, None, ""), (8, None, None, None, None, None, None), (9, "", "", "", None, None, ""),
-        (10, "FOOBARVUL", "", "", 10.01, 20.0, "List of shipwrecks of the Sea"), (11, "SS Foobarvul", "France", "1900-05-01", 10.0, 20.0, ""), (12, "x" * 4000, "", "1900", None, None, ""),
+        (10, "FOOBARVUL", "", "", 10.01, 20.0, "List of ship losses of the Sea"), (11, "SS Foobarvul", "France", "1900-05-01", 10.0, 20.0, ""), (12, "x" * 4000, "", "1900", None, None, ""),
     ]
     df = spark.createDataFrame([(*r, "clash") for r in rows], LISTED)
     got = {(r.row_a, r.row_b) for r in spellings.variant_links(df).collect()}
