@@ -37,27 +37,30 @@ def _greedy(merge_m: float, deg: float, compat: bool):
         h = math.sin((lb - la) / 2) ** 2 + math.cos(la) * math.cos(lb) * math.sin((lp - lo) / 2) ** 2
         return 2 * 6_371_000.0 * math.asin(min(1.0, math.sqrt(h)))
 
+    def around(la: float) -> range | tuple[int, ...]:
+        """Columns of cells to look in; beyond the grid's own reach, high latitudes need more of them."""
+        if compat:
+            return reach
+        wide = max(1, math.ceil(0.5 / max(0.02, math.cos(math.radians(la))) + 0.5))
+        return range(-wide, wide + 1)
+
+    reach = (-1, 0, 1)
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [one(g) for _, g in pdf.groupby("root", sort=False)]
-        return pd.concat(parts, ignore_index=True)
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        keepers: dict[tuple[int, int], list[list]] = {}
-        told, reach = [], (-1, 0, 1)
-        for r in pdf.sort_values("o").itertuples(index=False):
-            name, spot = (r.n or "").lower(), (r.la, r.lo)
-            kx, ky = math.floor(r.lo / deg), math.floor(r.la / deg)
-            # beyond the grid's own reach, high latitudes need more cells to the side
-            side = reach if compat else range(-max(1, math.ceil(1 / max(0.02, math.cos(math.radians(r.la))) / 2 + 0.5)), max(1, math.ceil(1 / max(0.02, math.cos(math.radians(r.la))) / 2 + 0.5)) + 1)
-            home = next(
-                (k for dx in side for dy in reach for k in keepers.get((kx + dx, ky + dy), ()) if metres(spot, (round(k[1], 6), round(k[2], 6))) <= merge_m and (not name or not k[3] or name == k[3])), None
-            )
+        told, last, keepers = [], None, {}
+        columns = pdf.sort_values(["root", "o"])[["root", "i", "n", "la", "lo"]]
+        for root, i, n, la, lo in zip(*(columns[c].tolist() for c in columns), strict=True):
+            if root != last:
+                last, keepers = root, {}
+            name, kx, ky = (n or "").lower(), math.floor(lo / deg), math.floor(la / deg)
+            near = (k for dx in around(la) for dy in reach for k in keepers.get((kx + dx, ky + dy), ()))
+            home = next((k for k in near if metres((la, lo), (round(k[1], 6), round(k[2], 6))) <= merge_m and (not name or not k[3] or name == k[3])), None)
             if home is None:
-                home = [r.i, r.la, r.lo, name]
+                home = [i, la, lo, name]
                 keepers.setdefault((kx, ky), []).append(home)
             elif not home[3]:
                 home[3] = name
-            told.append((r.i, home[0]))
+            told.append((i, home[0]))
         return pd.DataFrame(told, columns=["i", "keeper"])
 
     return run
@@ -80,6 +83,7 @@ def greedy_clusters(features: DataFrame, merge_m: float = 100.0, key: str = "row
     roots = settle(smallest_labels(ends, edges).withColumnRenamed("idx", "i"))
     share = max(1, roots.count() // per_task)
     # a task takes the components of one hash; a component is never split
-    crowd = at.join(roots, "i").groupBy(F.pmod(F.xxhash64("root"), F.lit(share))).applyInPandas(_greedy(merge_m, cell_degrees(merge_m), compat), "i long, keeper long")
-    alone = at.join(roots, "i", "left_anti").select("i", F.col("i").alias("keeper"))
+    both = settle(at.join(roots, "i", "left"))
+    crowd = both.where("root is not null").groupBy(F.pmod(F.xxhash64("root"), F.lit(share))).applyInPandas(_greedy(merge_m, cell_degrees(merge_m), compat), "i long, keeper long")
+    alone = both.where("root is null").select("i", F.col("i").alias("keeper"))
     return crowd.union(alone).select(F.col("i").alias(key), "keeper")
