@@ -7,21 +7,21 @@ the number, is a *source* of values. Conversion follows the sources, not a list
 
 1. rows that describe the same entity are linked by an exact key;
 2. for each pair of sources the scale between them is estimated robustly (median of the
-   log ratios, with the median absolute deviation), and the offset left after scaling;
+   log ratios, with the median absolute deviation), and where no ratio fits, a slope and an offset;
 3. a scale is snapped to a known conversion if one lies within ``tolerance``;
 4. conversions spread from the base unit through the graph of sources, strongest first.
 
-A known spelling has the definition of its word, which stands against contrary links: for it
-the links are a check. Any other word where a unit is expected is a source as well, and
-has the scale that the links give it; without ``min_links`` links it gives no value.
-All scales are ratios, so the offset is told (``pair_scales``) but never added. The
-graph has one node per spelling with links, which is all the driver holds.
+Where links are many and agree, they decide, whatever the word means elsewhere. Where they are
+few, a known spelling keeps the definition of its word, and any other word where a unit is
+expected has what the links give it; without ``min_links`` links it gives no value.
+The graph has one node per spelling with links, which is all the driver holds.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from typing import NamedTuple
 
 import pandas as pd
 import regex
@@ -218,7 +218,8 @@ def sources(df: DataFrame, entity: str) -> DataFrame:
 
 
 def pair_scales(df: DataFrame, entity: str, value: str, token: str, least: int = 1) -> DataFrame:
-    """For each two tokens with ``least`` links: links, median log ratio b/a, its deviation, and the offset.
+    """For each two tokens with ``least`` links: links, median log ratio b/a and its deviation; and the log of the
+    slope (the ratio of the middle halves), with the offset that a known conversion next to it leaves, the offset's spread and the level of b.
 
     Only entities told by exactly one value per token count, so that a hot entity key
     adds at most one link per pair of tokens.
@@ -231,13 +232,20 @@ def pair_scales(df: DataFrame, entity: str, value: str, token: str, least: int =
     links = a.select(F.col("a.t").alias("token_a"), F.col("a.v").alias("v_a"), F.explode(F.slice("all", F.col("i") + 2, F.size("all"))).alias("b")).select(
         "token_a", "v_a", F.col("b.t").alias("token_b"), F.col("b.v").alias("v_b")
     ).withColumn("r", F.log(F.col("v_b") / F.col("v_a")))
-    scale = links.groupBy("token_a", "token_b").agg(F.count("*").alias("links"), F.percentile_approx("r", 0.5, 1000).alias("log_scale")).where(F.col("links") >= least)
+    quarter = lambda c: F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.75)), 1000)
+    wide = lambda c: F.col(c)[1] - F.col(c)[0]
+    scale = links.groupBy("token_a", "token_b").agg(
+        F.count("*").alias("links"), F.percentile_approx("r", 0.5, 1000).alias("log_scale"), quarter("v_a").alias("qa"), quarter("v_b").alias("qb")
+    ).where(F.col("links") >= least).select("token_a", "token_b", "links", "log_scale", F.when((wide("qa") > 0) & (wide("qb") > 0), F.log(wide("qb") / wide("qa"))).alias("log_slope"))
+    known = F.array(*[F.lit(k) for k in sorted({math.log(x / y) for x in METRES.values() for y in METRES.values()})])
+    scale = scale.withColumn("log_known", F.array_min(F.transform(known, lambda k: F.struct(F.abs(k - F.col("log_slope")).alias("d"), k.alias("k"))))["k"])
     near = links.join(F.broadcast(scale), ["token_a", "token_b"])  # one row per pair of spellings
-    return near.groupBy("token_a", "token_b").agg(
-        F.first("links").alias("links"), F.first("log_scale").alias("log_scale"),
-        F.percentile_approx(F.abs(F.col("r") - F.col("log_scale")), 0.5, 1000).alias("deviation"),
-        F.percentile_approx(F.col("v_b") - F.exp("log_scale") * F.col("v_a"), 0.5, 1000).alias("offset"),
+    rest = F.col("v_b") - F.exp("log_known") * F.col("v_a")
+    told = near.groupBy("token_a", "token_b").agg(
+        F.first("links").alias("links"), F.first("log_scale").alias("log_scale"), F.percentile_approx(F.abs(F.col("r") - F.col("log_scale")), 0.5, 1000).alias("deviation"),
+        F.first("log_slope").alias("log_slope"), F.percentile_approx(rest, 0.5, 1000).alias("offset"), (quarter(rest)).alias("_q"), F.percentile_approx("v_b", 0.5, 1000).alias("level"),
     )
+    return told.select("token_a", "token_b", "links", "log_scale", "deviation", "log_slope", "offset", ((F.col("_q")[1] - F.col("_q")[0]) / 2).alias("offset_spread"), "level")
 
 
 def snap(log_scale: float, tolerance: float = 0.06) -> float | None:
@@ -246,48 +254,84 @@ def snap(log_scale: float, tolerance: float = 0.06) -> float | None:
     return best if abs(best - log_scale) <= tolerance else None
 
 
-def spread(edges: list[tuple[str, str, int, float, float]], tokens: set[str], base: str = "m", min_links: int = 5, max_deviation: float = 0.05) -> dict[str, tuple[float, str]]:
-    """Metres per token and how they came about (``linked``, ``defined``, or ``contradicted`` where links say
-    otherwise than a word's definition, which then stands).
-
-    ``edges``: token a, token b, links, log ratio of b's numbers to a's, deviation. Edges
-    with few links, a wide deviation, or a ratio that is no known conversion are left
-    out. The rest spread from ``base``, most links first (a widest-path search).
+class Edge(NamedTuple):
+    """What links tell of two sources: b = exp(log_scale) * a, or with an offset b = exp(log_slope) * a + offset."""
+
+    a: str
+    b: str
+    links: int
+    log_scale: float
+    deviation: float
+    log_slope: float | None = None
+    offset: float | None = None
+    offset_spread: float | None = None
+    level: float | None = None
+
+    def line(self, max_deviation: float, sure_links: int) -> tuple[float, float] | None:
+        """Factor and offset from a to b, snapped to a known conversion; None if the links do not agree on one.
+
+        An offset is told only by ``sure_links`` links that it fits several times closer than a bare
+        ratio does, and where it stands out from its own spread.
+        """
+        if self.links >= sure_links and None not in (self.log_slope, self.offset, self.offset_spread, self.level):
+            known, left = snap(self.log_slope), self.offset_spread / max(abs(self.level), 1e-9)
+            if known is not None and left <= min(max_deviation, self.deviation / 3) and abs(self.offset) > max(3 * self.offset_spread, 0.02 * abs(self.level)):
+                return math.exp(known), self.offset
+        known = snap(self.log_scale) if self.deviation <= max_deviation else None
+        return None if known is None else (math.exp(known), 0.0)
+
+
+def spread(edges: list[tuple], tokens: set[str], base: str = "m", min_links: int = 5, max_deviation: float = 0.05, sure_links: int = 20) -> dict[str, tuple[float, float, str]]:
+    """Of each token the metres in one, the metres to add, and how they came about.
+
+    ``edges`` have the fields of ``Edge``. Those with few links or that agree on no known conversion
+    are left out. The rest spread from ``base``, most links first (a widest-path search). Where a way
+    of ``sure_links`` links at every step reaches a token, the links decide (``linked``), against
+    the word's definition too (``redefined``); where fewer do, they decide for words without a
+    definition and are a check for the others, whose definition stands (``defined`` without
+    links, ``contradicted`` where they say otherwise).
     """
-    near: dict[str, list[tuple[int, str, float]]] = {}
-    for a, b, links, ratio, deviation in edges:
-        known = snap(ratio)
-        if links < min_links or deviation > max_deviation or known is None:
-            continue
-        near.setdefault(a, []).append((links, b, -known))
-        near.setdefault(b, []).append((links, a, known))
-    scales: dict[str, tuple[float, str]] = {}
-    queue = [(-(1 << 62), base, 0.0)]
+    near: dict[str, list[tuple[int, str, float, float]]] = {}
+    for e in (Edge(*x) for x in edges):
+        line = e.line(max_deviation, sure_links) if e.links >= min_links else None
+        if line:
+            k, c = line
+            near.setdefault(e.a, []).append((e.links, e.b, k, c))
+            near.setdefault(e.b, []).append((e.links, e.a, 1 / k, -c / k))
+    found: dict[str, tuple[float, float, int]] = {}
+    queue = [(-(1 << 62), base, 1.0, 0.0)]
     while queue:
-        width, token, log_m = heapq.heappop(queue)
-        if token in scales:
+        width, token, scale, shift = heapq.heappop(queue)
+        if token in found:
             continue
-        scales[token] = (math.exp(log_m), "linked")
-        for links, other, step in near.get(token, []):
-            if other not in scales:
-                heapq.heappush(queue, (max(width, -links), other, log_m + step))
+        found[token] = (scale, shift, -width)
+        for links, other, k, c in near.get(token, []):
+            if other not in found:
+                # metres = scale * a + shift, and a = (b - c) / k
+                heapq.heappush(queue, (max(width, -links), other, scale / k, shift - scale * c / k))
     out = {}
     for t in tokens:
         unit = unit_of(t)
-        linked = scales[t][0] if t in scales else None
-        if linked is not None:
-            linked = min(METRES.values(), key=lambda x: abs(math.log(x / linked)))
-        if unit is None and linked is not None:
-            out[t] = (linked, "linked")
-        elif unit is not None:  # a word's definition stands against contrary links
-            out[t] = (METRES[unit], "linked" if linked == METRES[unit] else "defined" if linked is None else "contradicted")
+        own = METRES[unit] if unit is not None else None
+        if t not in found:
+            if own is not None:
+                out[t] = (own, 0.0, "defined")
+            continue
+        scale, shift, width = found[t]
+        scale = min(METRES.values(), key=lambda x: abs(math.log(x / scale)))
+        if own is None or (scale == own and (shift == 0.0 or width >= sure_links)):
+            out[t] = (scale, shift, "linked")
+        elif width >= sure_links:
+            out[t] = (scale, shift, "redefined")
+        else:
+            out[t] = (own, 0.0, "contradicted")
     return out
 
 
-def token_scales(df: DataFrame, entity: str, min_links: int = 5) -> dict[str, tuple[float, str]]:
-    """Scales of all tokens of ``df._q``, by links between rows of one ``entity``; words without a definition or links have none."""
+def token_scales(df: DataFrame, entity: str, min_links: int = 5) -> dict[str, tuple[float, float, str]]:
+    """Scales and offsets of all tokens of ``df._q``, by links between rows of one ``entity``; words without a definition or links have none."""
     found = pair_scales(sources(df, entity), "_e", "_v", "_t", min_links)
-    edges = [tuple(r)[:5] for r in found.select("token_a", "token_b", "links", "log_scale", "deviation").collect()]
+    edges = [tuple(r) for r in found.select("token_a", "token_b", "links", "log_scale", "deviation", "log_slope", "offset", "offset_spread", "level").collect()]
     seen = {r[0] for r in df.where(F.col("_q").isNotNull()).select(F.explode(F.array("_q.token", "_q.token2")).alias("t")).distinct().collect()} - {None}
     return spread(edges, seen | {t for e in edges for t in e[:2]}, min_links=min_links)
 
@@ -306,11 +350,12 @@ def depths_in_metres(df: DataFrame, entity: Column, column: str = "depth_m", not
     scales = token_scales(read, "_entity")
     if not scales:
         return read.select(*kept, F.lit(None).cast("double").alias("depth_value_m"), F.lit(None).cast("string").alias("depth_scale_from")).where(F.lit(False))
-    metres = F.create_map(*[x for t, (m, _) in scales.items() for x in (F.lit(t), F.lit(m))])
-    how = F.create_map(*[x for t, (_, h) in scales.items() for x in (F.lit(t), F.lit(h))])
+    per = lambda i: F.create_map(*[x for t, told in scales.items() for x in (F.lit(t), F.lit(told[i]))])
+    metres, shift, how = per(0), per(1), per(2)
     q = F.col("_q")
-    word = F.coalesce(q["word"], F.lit(""))
-    value = q["value"] * F.try_element_at(metres, F.coalesce(q["token"], F.lit(""))) + F.coalesce(q["value2"] * F.try_element_at(metres, F.coalesce(q["token2"], F.lit(""))), F.lit(0.0))
-    value = F.coalesce(q["other"] * F.try_element_at(metres, word), value)
-    told = F.coalesce(F.try_element_at(how, word), F.try_element_at(how, F.coalesce(q["token"], F.lit(""))))
+    word, token, part = (F.coalesce(q[c], F.lit("")) for c in ("word", "token", "token2"))
+    at = lambda v, t: v * F.try_element_at(metres, t) + F.try_element_at(shift, t)
+    value = at(q["value"], token) + F.coalesce(q["value2"] * F.try_element_at(metres, part), F.lit(0.0))
+    value = F.coalesce(at(q["other"], word), value)
+    told = F.coalesce(F.try_element_at(how, word), F.try_element_at(how, token))
     return read.select(*kept, value.alias("depth_value_m"), told.alias("depth_scale_from")).where("depth_value_m > 0")

@@ -48,4 +48,24 @@ def test_snap_and_spread():
     assert snap(math.log(1 / 0.3048) + 0.01) == pytest.approx(math.log(1 / 0.3048))
     assert snap(0.3) is None
     got = spread([("m", "odd", 40, math.log(1 / 1.8288), 0.01), ("odd", "ft", 30, math.log(6), 0.01), ("m", "weak", 2, 0.0, 0.0)], {"m", "odd", "ft", "weak"})
-    assert got["odd"] == (pytest.approx(1.8288), "linked") and got["ft"] == (0.3048, "linked") and "weak" not in got
+    assert got["odd"] == (pytest.approx(1.8288), 0.0, "linked") and got["ft"] == (0.3048, 0.0, "linked") and "weak" not in got
+
+
+def test_links_decide_against_a_definition():
+    tokens = {"m", "ft", "fathoms", "yards"}
+    swapped = [("m", "ft", 40, math.log(1 / 1.8288), 0.01), ("m", "fathoms", 40, math.log(1 / 0.3048), 0.01), ("m", "yards", 8, math.log(1 / 0.3048), 0.01)]
+    got = spread(swapped, tokens)
+    assert got["ft"] == (1.8288, 0.0, "redefined") and got["fathoms"] == (0.3048, 0.0, "redefined") and got["yards"] == (0.9144, 0.0, "contradicted")
+    assert {t: x[2] for t, x in spread([], tokens).items()} == {"m": "linked", "ft": "defined", "fathoms": "defined", "yards": "defined"}
+
+
+def test_swapped_spellings_and_offsets_come_from_links(spark):
+    rows = []
+    for i in range(60):
+        m = 20 + 3 * i
+        rows += [(10 * i, f"{m} m", "", f"s{i}"), (10 * i + 1, f"{round(m / 1.8288, 1)} ft", "", f"s{i}"), (10 * i + 2, f"{m + 12} vadem", "", f"s{i}"), (10 * i + 3, f"{round((m + 12) / 0.3048, 1)} pes", "", f"s{i}")]
+    out = depths_in_metres(spark.createDataFrame(rows, "row_no long, depth_m string, note string, ship string"), F.col("ship"))
+    got = {r.row_no: r.depth_value_m for r in out.collect()}
+    for i in range(60):
+        assert got[10 * i + 1] == pytest.approx(20 + 3 * i, abs=0.2)  # "ft" means fathoms here
+        assert got[10 * i + 2] == pytest.approx(20 + 3 * i, abs=0.01) and got[10 * i + 3] == pytest.approx(20 + 3 * i, abs=0.3)  # counted from 12 m higher
