@@ -12,6 +12,17 @@ from hullmark.functions.geo import dmm_degrees
 COUNTRIES = {"GB": "United Kingdom", "US": "United States", "DE": "Germany", "NO": "Norway", "FR": "France", "NL": "Netherlands", "DK": "Denmark", "SE": "Sweden", "BE": "Belgium", "ES": "Spain", "IT": "Italy", "GR": "Greece", "PA": "Panama", "RU": "Russia", "JP": "Japan", "FI": "Finland", "PL": "Poland", "PT": "Portugal", "IE": "Ireland", "CA": "Canada"}
 
 
+# Codes of horizontal datums.
+DATUMS = {"WGD 2": "WGS 84"}
+
+
+def horizontal_datum(code: Column) -> Column:
+    """The datum a code stands for, whatever the case and blanks; the code itself if it is unknown, '' if there is none."""
+    t = F.trim(F.regexp_replace(F.upper(F.coalesce(code, F.lit(""))), r"\s+", " "))
+    names = F.create_map(*[F.lit(x) for kv in DATUMS.items() for x in kv])
+    return F.coalesce(F.try_element_at(names, t), t)
+
+
 def told(c: str) -> Column:
     """The text of a field; null for '', NULL and n/a."""
     t = F.trim(F.col(c).cast("string"))
@@ -30,4 +41,5 @@ def hydro_records(extract: DataFrame, keep_dead: bool = False) -> DataFrame:
         F.coalesce(F.try_element_at(names, F.upper(told("flag"))), told("flag"), F.lit("")).alias("flag"), compact_date(told("date_sunk")).alias("date"),
         dmm_degrees(told("latitude")).alias("latitude"), dmm_degrees(told("longitude")).alias("longitude"), told("depth").try_cast("double").alias("depth_m"), told("water_dept").try_cast("double").alias("water_depth_m"),
         note.alias("note"), F.lit("ukho").alias("coord_source"), F.coalesce(F.lower(told("status")), F.lit("")).alias("status"),
+        *([horizontal_datum(told("horizontal")).alias("horizontal_datum")] if "horizontal" in extract.columns else []),
     )

@@ -23,7 +23,8 @@ def _csv(df: DataFrame, path: str, files: int | None) -> None:
 
 def _text(df: DataFrame, columns: list[str]) -> list[Column]:
     """Columns as texts, coordinates in six places, missing ones as ''."""
-    six = lambda c: F.coalesce(F.format_string("%.6f", F.col(c).try_cast("double")), F.lit(""))
+    number = lambda c: F.col(c).try_cast("double")
+    six = lambda c: F.when(number(c).isNotNull(), F.format_string("%.6f", number(c))).otherwise("")
     told = lambda c: six(c) if c in ("latitude", "longitude") else F.coalesce(F.col(c).cast("string"), F.lit(""))
     return [(told(c) if c in df.columns else F.lit("")).alias(c) for c in columns]
 

@@ -1,7 +1,9 @@
 import json
 
+import pytest
+
 from hullmark import cli
-from hullmark.sources import articles
+from hullmark.sources import articles, readers
 from tests import fake_wiki
 
 
@@ -15,6 +17,72 @@ def test_fetch_and_store(spark, tmp_path):
     assert json.loads((tmp_path / "x/a/metadata.json").read_text())["depth_m"] == 60.0 and not (tmp_path / "x/b").exists()
 
 
+def test_lists_and_articles_end_to_end(spark, tmp_path, monkeypatch):
+    from hullmark.sources import http
+
+    out = tmp_path / "out"
+    told = ["all", str(out), "--transport", f"tests.fake_lists:ask?{tmp_path}", "--no-images"]
+    args = cli.parser().parse_args(told)
+    cli.run_lists(spark, args)
+    listed = {r.name: r for r in readers.read_rows_csv(spark, str(out / "wrecks")).collect()}
+    assert set(listed) == {"HMS A", "Nameless B"} and listed["HMS A"].wikipedia_url.endswith("/wiki/HMS_A") and listed["HMS A"].date == "1900-05" and listed["Nameless B"].depth_m == "20.0"
+    asked = (tmp_path / "asked").read_text().splitlines()
+    assert sorted(asked) == ["List of gone", "List of ship losses in 1900", "Lists of ship losses"]
+    cli.run_lists(spark, args)  # the pages are taken from the store; what is missing is not asked for again
+    assert (tmp_path / "asked").read_text().splitlines() == asked
+    cli.run_articles(spark, args)
+    filled = {r.name: r for r in readers.read_rows_csv(spark, str(out / "wrecks_filled")).collect()}
+    assert (filled["HMS A"].latitude, filled["HMS A"].coord_source, filled["HMS A"].depth_m, filled["Nameless B"].latitude) == ("1.500000", "article", "60.0", "")
+    n = len((tmp_path / "asked").read_text().splitlines())
+    cli.run_articles(spark, args)  # nothing is left to do
+    assert len((tmp_path / "asked").read_text().splitlines()) == n
+    assert http.transport("tests.fake_wiki:ask") is fake_wiki.ask
+
+
+def test_images(spark, tmp_path):
+    found = spark.createDataFrame([("w1", "ok", 7), ("w2", "missing", None)], "id string, status string, pageid long")
+    images = articles.list_images(found, f"tests.fake_lists:ask?{tmp_path}")
+    root = str(tmp_path)
+    stored = articles.store_images(images, lambda: articles.FolderStore(root), lambda url: url.encode()).orderBy("place").collect()
+    assert [(r.object_name, r.artist, r.license_url, r.key, r.bytes) for r in stored] == [("01_Ship_one.jpg", "Ann B", "https://l", "w1/01_Ship_one.jpg", 11), ("02_Ship_two.jpg", "Ann B", "https://l", "w1/02_Ship_two.jpg", 11)]
+    assert (tmp_path / "w1/01_Ship_one.jpg").read_bytes() == b"https://f/1"
+
+    def fails(url):
+        raise OSError
+
+    assert [(r.key, r.bytes) for r in articles.store_images(images, lambda: articles.FolderStore(root), fails).collect()] == [(None, None)] * 2
+
+
+def test_spacing_and_errors(monkeypatch, tmp_path):
+    import io
+    import urllib.error
+    import urllib.request
+
+    from hullmark.sources import http
+
+    spacing, slept = http.Spacing(5.0, "test"), []
+    spacing.path = str(tmp_path / "lock")
+    for now in (100.0, 102.0):
+        spacing.wait(lambda: now, slept.append)  # noqa: B023
+    assert slept == [0.0, 3.0]
+
+    def answer(code, headers):
+        def open_(request, timeout):
+            raise urllib.error.HTTPError(request.full_url, code, "", headers, io.BytesIO())
+
+        return open_
+
+    monkeypatch.setattr(urllib.request, "urlopen", answer(503, {"Retry-After": "7"}))
+    with pytest.raises(http.Later) as told:
+        http.fetch("http://x", {"a": 1}, spacing=0)
+    assert told.value.retry_after == 7
+    monkeypatch.setattr(urllib.request, "urlopen", answer(404, {}))
+    with pytest.raises(readers.Refused):
+        http.fetch("http://x", spacing=0)
+    with pytest.raises(http.Later):
+        http.fetch("http://x", spacing=0, every_error_passes=True)
+
+
 def test_paged():
     assert [a["n"] for a in articles.paged(fake_wiki.ask, {"action": "query", "list": "x"})] == [1, 2]
 

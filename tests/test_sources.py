@@ -37,6 +37,13 @@ def test_chart_service(spark, monkeypatch):
     assert [(r.name, r.category, r.depth_m, r.bands) for r in got] == [(f"N{i}", "dangerous wreck", 1.5, "harbour") for i in (1, 2, 3)]
 
 
+def test_chart_answers_are_kept(spark, tmp_path, monkeypatch):
+    reader = readers._ChartReader({"transport": "tests.fake_service:ask", "url": "x", "cache": str(tmp_path / "c"), "bands": "harbour"})
+    first = [list(reader.read(p)) for p in reader.partitions()]
+    monkeypatch.setattr("tests.fake_service.ask", None)
+    assert [list(reader.read(p)) for p in reader.partitions()] == first and len(first[0]) == 3
+
+
 def test_patience():
     waits, calls = [], []
 
@@ -109,6 +116,8 @@ def test_hydro(spark):
     (r,) = hydro_records(df).collect()
     assert (r.id, r.name, r.flag, r.date, r.latitude, r.note) == ("UKHO-7", "Unnamed wreck", "United Kingdom", "1982-02-26", 58.3005, "torpedoed; type: cargo")
     assert hydro_records(df, keep_dead=True).count() == 2
+    (r,) = hydro_records(df.withColumn("horizontal", F.lit("wgd  2"))).collect()
+    assert r.horizontal_datum == "WGS 84"
 
 
 def test_resume(spark, tmp_path):
