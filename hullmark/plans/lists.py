@@ -159,6 +159,48 @@ def _month_no(x: str) -> str:
     return f"list_position(['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec'], lower(substr({x}, 1, 3)))"
 
 
+# Typed dates by their words and numbers: day month year, month day comma year, month year, else the first number of three or four digits.
+_READ_DATES = """
+WITH words AS (
+  SELECT row_no, coalesce(date, '') AS d, string_split(coalesce(source_lists, ''), ' | ')[1] AS title, regexp_extract_all(lower(coalesce(date_raw, '')), '[a-z]+|[0-9]+|,') AS w,
+    ['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec'] AS months FROM wikipedia_wrecks
+), found AS (
+  SELECT *, coalesce(list_position(months, w[1][1:3]), 0) AS first, coalesce(list_position(months, w[2][1:3]), 0) AS second, list_filter(w, lambda x: regexp_full_match(x, '[0-9]{3,4}'))[1] AS year FROM words
+), read AS (
+  SELECT row_no, d, title, months, CASE
+    WHEN len(w) = 3 AND second > 0 AND len(w[1]) <= 2 THEN year || '-' || lpad(CAST(second AS VARCHAR), 2, '0') || '-' || lpad(w[1], 2, '0')
+    WHEN len(w) = 4 AND first > 0 AND w[3] = ',' THEN year || '-' || lpad(CAST(first AS VARCHAR), 2, '0') || '-' || lpad(w[2], 2, '0')
+    WHEN len(w) = 2 AND first > 0 THEN year || '-' || lpad(CAST(first AS VARCHAR), 2, '0')
+    WHEN CAST(year AS INTEGER) BETWEEN 100 AND 2100 THEN year END AS said FROM found
+)
+"""
+
+
+def _best_depths(texts: str) -> str:
+    """``x, depth`` of each text ``x``: its quantities each with what stands before and after them, the best kind first."""
+    units = "metres|meters|metre|meter|m|feet|foot|ft|fathoms|fathom|fms|fm"
+    amount = rf"'([0-9]+(?:,[0-9]{{3}})*(?:\.[0-9]+)?)(?: ?(?:-|–|to) ?[0-9]+(?:,[0-9]{{3}})*(?:\.[0-9]+)?)? ?-? ?({units})\b'"
+    aside = r"^( ?\([^)]{0,30}\))? "
+    named = r"'depth of ((about|approximately|around|some|roughly|over|nearly|~|c\.) ?)?$'"
+    own = lambda c: f"NOT regexp_matches(right({c}, 25), 'hold|draught|draft')"
+    return f"""
+WITH cut AS (
+  SELECT x, t, regexp_extract_all(t, {amount}) AS f, regexp_extract_all(t, {amount}, 1) AS n, regexp_extract_all(t, {amount}, 2) AS u, string_split_regex(t, {amount}) AS b
+  FROM (SELECT x, lower(regexp_replace(x, '[\\s\\p{{Z}}]+', ' ', 'g')) AS t FROM ({texts}))
+), each AS (
+  SELECT *, array_to_string(list_transform(range(1, i + 1), lambda k: CASE WHEN k > 1 THEN f[k - 1] ELSE '' END || b[k]), '') AS ahead FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM cut)
+), told AS (
+  SELECT x, i, ahead, substr(t, length(ahead) + length(f[i]) + 1) AS rest, CAST(replace(n[i], ',', '') AS DOUBLE) * CASE WHEN u[i] IN ('feet', 'foot', 'ft') THEN 0.3048 WHEN u[i] LIKE 'f%' THEN 1.8288 ELSE 1 END AS m FROM each
+), kinds AS (
+  SELECT x, i, m, CASE
+    WHEN regexp_matches(rest, '{aside}of (\\w+ )?water') AND {own('ahead')} THEN 1
+    WHEN regexp_matches(ahead, {named}) AND NOT regexp_matches(ahead, 'hold depth of|moulded depth of') AND {own(f"regexp_replace(ahead, {named}, '')")} THEN 2
+    WHEN regexp_matches(rest, '{aside}(deep|down|below the surface|beneath the surface)') AND {own('ahead')} THEN 3
+    WHEN regexp_matches(ahead, '\\bat $') AND regexp_matches(rest, '{aside}depth') AND {own("regexp_replace(ahead, 'at $', '')")} THEN 4 END AS kind
+  FROM told WHERE m > 0 AND m < 11000 AND NOT regexp_matches(ahead, '[0-9.,]$')
+), best AS (SELECT x, arg_min(round(m, 1), kind * 1000 + i) AS depth FROM kinds WHERE kind IS NOT NULL GROUP BY x)"""
+
+
 SQL = {
     "list_ids": f"""
 SELECT row_no, 'WPW-' || substr(sha1(CASE WHEN {_TITLE} <> '' THEN 'a|' || lower({_TITLE}) || '|' || regexp_replace(substr(coalesce(date, ''), 1, 5), '-+$', '')
@@ -174,6 +216,16 @@ SELECT r.id, arg_min(name, o) FILTER (name <> '') AS name, arg_min(flag, o) FILT
   first(note ORDER BY length(note) DESC, o) FILTER (note <> '') AS note, arg_min(wikipedia_url, o) FILTER (wikipedia_url <> '') AS wikipedia_url,
   coalesce(any_value(ls.source_lists), '') AS source_lists, count(*) AS n_rows
 FROM r LEFT JOIN ls ON r.id = ls.id GROUP BY r.id""",
+    "depth_from_note": _best_depths("SELECT DISTINCT note AS x FROM wikipedia_wrecks WHERE note IS NOT NULL UNION SELECT DISTINCT depth_m || ' deep' FROM wikipedia_wrecks WHERE depth_m IS NOT NULL") + r"""
+SELECT row_no, n.depth AS from_note, from_column, coalesce(d.depth, from_column, n.depth) AS depth FROM (
+  SELECT row_no, note, depth_m || ' deep' AS col,
+    round(TRY_CAST(replace(regexp_extract(coalesce(depth_m, ''), '[0-9.,]+'), ',', '') AS DOUBLE) * CASE WHEN regexp_matches(lower(coalesce(depth_m, '')), '\b(ft|feet|foot)\b') THEN 0.3048 ELSE 1 END, 1) AS from_column
+  FROM wikipedia_wrecks) w LEFT JOIN best n ON n.x = w.note LEFT JOIN best d ON d.x = w.col""",
+    "partial_dates": _READ_DATES + "SELECT row_no, coalesce(said, '') AS parsed, CASE WHEN starts_with(d, '-') THEN rtrim(substr(d, 1, 5), '-') ELSE substr(d, 1, 4) END AS year_key FROM read",
+    "context_dates": _READ_DATES + """
+SELECT row_no, coalesce(said, y || CASE WHEN m > 0 THEN '-' || lpad(CAST(m AS VARCHAR), 2, '0') ELSE '' END, '') AS dated FROM (
+  SELECT *, list_position(months, lower(regexp_extract(title, '\\bin ([A-Z][a-z]{2})[a-z]* [0-9]{4}', 1))) AS m,
+    nullif(coalesce(nullif(regexp_extract(title, '\\bin [A-Z][a-z]+ ([0-9]{4})', 1), ''), regexp_extract(title, '\\bin ([0-9]{3,4})$', 1)), '') AS y FROM read)""",
     "list_sorted_export": """
 SELECT row_no, coalesce(nullif(date, ''), '9999') AS sort_date, 
   CASE WHEN coalesce(wikipedia_url, '') <> '' THEN wikipedia_url WHEN coalesce(name, '') <> '' THEN 'https://wiki.example/wiki/' || replace(name, ' ', '_') ELSE '' END AS url,
