@@ -81,6 +81,6 @@ def merge_clusters(rows: DataFrame, keeper: str = "keeper", order: str = "row_no
     filled = ["name", "flag", "date", "depth_m", "note", "category", "water_level", "depth_quality", "depth_technique", "depth_exposition", "vertical_datum", "height_m", "source_date", "source_ind", "enc_cell", "depth_source", "coord_source"]
     first = rows.withColumn("_o", F.when(F.col(order) == F.col(keeper), F.lit(-1)).otherwise(F.col(order)))
     return first.groupBy(keeper).agg(
-        stay("id"), stay("kind"), stay("latitude"), stay("longitude"), stay("geometry_type"), *[first_filled(c, "_o").alias(c) for c in filled],
+        stay("id"), stay("kind"), stay("latitude"), stay("longitude"), stay("geometry_type"), *[first_filled(c, "_o").alias(c) for c in filled if c in rows.columns],
         ordered_union("bands", "_o", ",").alias("bands"), F.count("*").alias("n_features"),
     )
