@@ -298,3 +298,29 @@ def test_circles_touch_the_cells_of_all_near_positions(spark):
     near = df.where(spellings.haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d")) <= 30)
     wrong = near.where(~F.array_contains(linkage._cells(F.col("a"), F.col("b"), 30.0), linkage._cells(F.col("c"), F.col("d"))[0]))
     assert near.count() > 1000 and wrong.count() == 0
+
+
+def test_nothing_to_learn_from(spark):
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "Row ashore.")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, None, "abuse"), (2, "x", None), (3, "y", "other")], "item_id long, text string, label string")
+    for d, y in ((docs, labels), (docs.where("doc_id < 0"), labels.where("item_id < 0"))):
+        table, told = abuse.trained(d, y)
+        assert told["passages"] == 0 and {r.doc_id: r.score >= 0.3 for r in abuse.scored(docs, table).collect()} == {1: False, 2: False, 3: False}
+    assert abuse.scored(docs.where("doc_id < 0"), table).count() == 0
+
+
+def test_linkage_of_odd_rows(spark):
+    chart = [(1, None, None, None, None), (2, "", "", float("nan"), 20.0), (3, "Q" * 3000, None, 10.0, 20.0), (4, "Q" * 3000, None, 10.0, 20.0), (5, "Аврора Севера", None, 95.0, 500.0)]
+    lists = [(101, None, None, None, None, None, None, "clash"), (102, "Q" * 3000, None, None, 10.0, 20.0, None, "clash"), (103, "АВРОРА СЕВЕРА", "", "1900", None, None, "", "clash"), (103, "АВРОРА СЕВЕРА", "", "1900", None, None, "", "clash")]
+    a = spark.createDataFrame(chart, "row_no long, name string, note string, latitude double, longitude double")
+    got = {(r.chart_row, r.list_row) for r in linkage.match(a, spark.createDataFrame(lists, LISTED)).collect()}
+    assert got == {(3, 102), (4, 102), (5, 103)}
+    assert linkage.match(a, spark.createDataFrame([], LISTED)).count() == 0
+
+
+def test_mix_of_odd_rows(spark):
+    rows = [(None, "a", 5), (1, None, 5), (2, "a", None), (3, "a", 0), (4, "a", 7), (4, "a", 7), (5, "b", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, n_tokens int").withColumn("copies", F.lit("clash"))
+    t = spark.createDataFrame([("a", 0.5, 2), ("b", 0.5, 3), (None, 0.2, 1), ("c", None, 1)], "source string, target_share double, max_repeats int")
+    got = mixing.mix(df, t, least_block=1).collect()
+    assert {r.doc_id for r in got} <= {None, 4, 5} and all(1 <= r.copies <= 3 for r in got) and {r.source for r in got} == {"a", "b"}
