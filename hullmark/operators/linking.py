@@ -107,15 +107,20 @@ def groups(rows: DataFrame, max_km: float = 10.0, rules: int = len(RULES)) -> Da
 
 
 def rule_merges(rows: DataFrame, max_km: float = 10.0) -> DataFrame:
-    """``rule, merges``: by how many groups each rule lessens what the rules before it left."""
+    """``rule, merges``: by how many groups each rule lessens what the rules before it left.
+
+    Each rule's edges are drawn between the groups so far, and only those they touch are labelled anew.
+    """
     spark = rows.sparkSession
     rows = settle(rows)
-    n, counts, out = rows.count(), [], None
+    labels, counts = rows.select("idx", F.col("idx").alias("root")), []
     for e in rule_edges(rows, max_km):
-        out = e if out is None else out.union(e)
-        left = smallest_labels(rows, out).where("idx = root").count()
-        counts.append(n - left)
-        n = left
+        ends = [labels.select(F.col("idx").alias(c), F.col("root").alias(f"r{c}")) for c in ("a", "b")]
+        between = settle(e.join(ends[0], "a").join(ends[1], "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
+        touched = between.select(F.col("a").alias("idx")).union(between.select("b")).distinct()
+        moved = settle(smallest_labels(touched, between).where("idx <> root").select(F.col("idx").alias("root"), F.col("root").alias("to")))
+        counts.append(moved.count())
+        labels = settle(labels.join(moved, "root", "left").select("idx", F.coalesce("to", "root").alias("root")))
     return spark.createDataFrame(list(zip(RULES, counts, strict=True)), "rule string, merges long")
 
 
