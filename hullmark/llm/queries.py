@@ -112,19 +112,24 @@ reach AS (SELECT a AS id, b AS other FROM links UNION SELECT r.id, l.b FROM reac
 grouped AS (SELECT id, least(id, min(other)) AS group_id FROM reach GROUP BY id)
 """
 
-SQL = {
-    "p6_found": _GROUPS + "SELECT id, group_id FROM grouped",
-    "p3_found": _GROUPS
-    + """, fields AS (
-  SELECT g.group_id, r.id, r.loaded_at, 'wikipedia_url' AS field_name, 0 AS trust
+# Usable values with their trust and how many fields of the record are usable; the best one of each group and field.
+_FIELDS = _GROUPS + """, usable AS (
+  SELECT g.group_id, r.id, r.loaded_at, r.wikipedia_url, r.depth_m, r.depth_source,
+    coalesce(regexp_matches(r.wikipedia_url, '^\\s*https?://[^/]+/wiki/[^?#\\s]') AND NOT regexp_matches(lower(r.wikipedia_url), '/wiki/(list_of|lists_of|category:|file:)|[-_]class(_|$)'), false) AS url_ok,
+    coalesce(r.depth_m > 0 AND r.depth_m < 11000, false) AS depth_ok
   FROM dedupe_wrecks r JOIN grouped g USING (id)
-  WHERE regexp_matches(r.wikipedia_url, '^\\s*https?://[^/]+/wiki/[^?#\\s]')
-    AND NOT regexp_matches(lower(r.wikipedia_url), '/wiki/(list_of|lists_of|category:|file:)|[-_]class(_|$)')
+), fields AS (
+  SELECT group_id, id, loaded_at, 'wikipedia_url' AS field_name, 0 AS trust, wikipedia_url AS value, CAST(url_ok AS INTEGER) + CAST(depth_ok AS INTEGER) AS whole FROM usable WHERE url_ok
   UNION ALL
-  SELECT g.group_id, r.id, r.loaded_at, 'depth_m', CASE WHEN r.depth_source = 'article' THEN 1 ELSE 0 END
-  FROM dedupe_wrecks r JOIN grouped g USING (id) WHERE r.depth_m > 0 AND r.depth_m < 11000
+  SELECT group_id, id, loaded_at, 'depth_m', CASE WHEN depth_source = 'article' THEN 1 ELSE 0 END, CAST(depth_m AS VARCHAR), CAST(url_ok AS INTEGER) + CAST(depth_ok AS INTEGER) FROM usable WHERE depth_ok
+), survivors AS (
+  SELECT group_id, field_name, id AS from_id, value FROM fields
+  QUALIFY row_number() OVER (PARTITION BY group_id, field_name ORDER BY trust DESC, loaded_at DESC NULLS LAST, whole DESC, id, value) = 1
 )
-SELECT group_id, field_name, id AS from_id FROM fields
-QUALIFY row_number() OVER (PARTITION BY group_id, field_name ORDER BY trust DESC, loaded_at DESC NULLS LAST, id) = 1
-""",
+"""
+
+SQL = {
+    "p6_found": _GROUPS + "SELECT id, group_id FROM grouped",
+    "p3_found": _FIELDS + "SELECT group_id, field_name, from_id FROM survivors",
+    "p3_survivors": _FIELDS + "SELECT group_id, field_name, from_id, value FROM survivors",
 }
