@@ -324,3 +324,55 @@ def test_mix_of_odd_rows(spark):
     t = spark.createDataFrame([("a", 0.5, 2), ("b", 0.5, 3), (None, 0.2, 1), ("c", None, 1)], "source string, target_share double, max_repeats int")
     got = mixing.mix(df, t, least_block=1).collect()
     assert {r.doc_id for r in got} <= {None, 4, 5} and all(1 <= r.copies <= 3 for r in got) and {r.source for r in got} == {"a", "b"}
+
+
+def _full_group(n):
+    """Names of syllables and their misspellings, 8 to 30 letters and some short ones."""
+    rng = random.Random(6)
+    syllables = ["ber", "gu", "pon", "ze", "ar", "sul", "sa", "be", "po", "vur", "len", "gil", "é", "mi"]
+    words = set()
+    while len(words) < n:
+        w = "".join(rng.choices(syllables, k=rng.choice((2, 3, 4, 4, 5, 5, 9))))
+        for _ in range(4):
+            words.add(w)
+            k = rng.randrange(len(w))
+            w = rng.choice((w[:k] + "o" + w[k:], w[:k] + w[k + 1 :], w[:k] + "o" + w[k + 1 :])) or w
+    return sorted(words)
+
+
+def test_stems_that_meet_by_common_parts():
+    words = _full_group(2500)
+    lengths, group = np.array([len(w) for w in words]), np.array([k % 2 for k in range(len(words))])
+    asks, member = np.array([k % 3 > 0 for k in range(len(words))]), np.array([k % 5 > 0 for k in range(len(words))])
+    any_pair = lambda i, j: np.ones(len(i), bool)
+    for at_once in (1 << 24, 20_000):
+        i, j = spellings._met(words, lengths, group, asks, member, any_pair, 1e12, at_once)
+        d = spellings.near_distances(words, i, j, 3)
+        met = {(a, b) for a, b, x in zip(i.tolist(), j.tolist(), d.tolist()) if 0 < x <= spellings.allowed(np.minimum(lengths[a], lengths[b]))}
+        a, b, _ = spellings.near_stems(words, asks, group * 100 + lengths, member=member)
+        assert met == {(x, y) for x, y in zip(a.tolist(), b.tolist()) if group[x] == group[y]} and len(met) > 500
+    assert spellings._met(words, lengths, group, asks, member, any_pair, 10) is None
+
+
+def test_full_groups_are_not_copied_to_every_pivot(spark, monkeypatch):
+    words, rows = _full_group(1500), []
+    blocks, pieces = spellings._blocks, spellings._pieces
+
+    def seen(make):
+        def run(df, *args):
+            out = make(df, *args)
+            rows.append(out.count())
+            return out
+
+        return run
+
+    monkeypatch.setattr(spellings, "_blocks", seen(blocks))
+    monkeypatch.setattr(spellings, "_pieces", seen(pieces))
+    df = spark.createDataFrame([(1900, w, k % 4 > 0) for k, w in enumerate(words)], "year int, stem string, asks boolean")
+    for once in (False, True):
+        want = sorted((r.a, r.b) for r in spellings.stem_links(df, once=once).collect())
+        assert len(want) > 300
+        for alone in (200_000, 100):
+            del rows[:]
+            got = sorted((r.a, r.b) for r in spellings.stem_links(df, once=once, per_pivot=20, **({} if alone > 1000 else {"alone": alone})).collect())
+            assert got == want and sum(rows) <= 16 * len(words)
